@@ -1,0 +1 @@
+"""Empty on purpose: every table is the batch of a closed month, nothing is a stream."""
