@@ -13,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from balcao.functions import months as M
-from balcao.functions.numbers import ratio, rounded, weighted_discount
+from balcao.functions.numbers import rounded, weighted_discount
 from balcao.operators.gold import company_names, monthly_volume
 
 BANDS = {"3m": (-2, 0), "6m": (-5, -3), "9m": (-8, -6)}
@@ -185,16 +185,21 @@ def eligible_rows(orders: DataFrame, customers: DataFrame, span: Range) -> DataF
     return entry.agg(F.coalesce(F.sum(F.greatest(months, F.lit(0))), F.lit(0)).alias("valor"))
 
 
-def _band(name: str) -> list[Column]:
+def _sums(name: str) -> list[Column]:
+    """Totals of a band, one window column per measure."""
     frame = Window.partitionBy("cliente_id").orderBy("mes_idx").rowsBetween(*BANDS[name])
+    return [
+        F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"{c}_{name}") for c in ["mes_ativo", *MEASURES]
+    ]
+
 
-    def total(column: str) -> Column:
-        return F.coalesce(F.sum(column).over(frame), F.lit(0))
+def _metrics(name: str) -> list[Column]:
+    """The seven metrics of a band; means always divide by its three months."""
 
     def mean(column: str, digits: int = 2) -> Column:
-        return rounded(ratio(total(column), F.lit(MONTHS_PER_BAND)), digits)
+        return rounded(F.col(f"{column}_{name}").cast("double") / MONTHS_PER_BAND, digits)
 
-    net, gross = total("receita_total"), total("receita_sem_desconto")
+    net, gross = F.col(f"receita_total_{name}"), F.col(f"receita_sem_desconto_{name}")
     return [
         mean("mes_ativo", 4).alias(f"frequencia_compra_{name}"),
         mean("receita_total").alias(f"receita_media_{name}"),
@@ -212,11 +217,16 @@ def historico_cliente_metricas(
     """Snapshot rows of every eligible customer for every month of `span`."""
     span = span or full_range(orders)
     dense = dense_months(orders, details, span)
-    bands = [c for name in BANDS for c in _band(name)]
-    rows = dense.select("cliente_id", "mes_idx", *bands).filter(F.col("mes_idx") >= span.first)
-    metrics = [c for c in rows.columns if c not in ("cliente_id", "mes_idx")]
-    return rows.join(company_names(customers), "cliente_id").select(
-        M.key_of_index(F.col("mes_idx")).alias("ano_mes"), "cliente_id", "nome_empresa", *metrics
+    sums = dense.select("cliente_id", "mes_idx", *[c for name in BANDS for c in _sums(name)])
+    return (
+        sums.filter(F.col("mes_idx") >= span.first)
+        .join(company_names(customers), "cliente_id")
+        .select(
+            M.key_of_index(F.col("mes_idx")).alias("ano_mes"),
+            "cliente_id",
+            "nome_empresa",
+            *[c for name in BANDS for c in _metrics(name)],
+        )
     )
 
 

@@ -105,11 +105,15 @@ def reasons_of(status: Column, frequency: Column, revenue: Column, quantity: Col
 
 
 def with_status(snapshots: DataFrame) -> DataFrame:
-    """State of the five metrics, status and deciding metrics of every snapshot row."""
-    states = {f"estado_{m.key}": metric_trend(m).state for m in METRICS}
+    """State of the five metrics, status and deciding metrics of every snapshot row.
+
+    The states come out of a one-row generator: a later filter on the status then
+    tests the states and does not drag five copies of their arithmetic down the plan.
+    """
+    states = F.struct(*[metric_trend(m).state.alias(f"estado_{m.key}") for m in METRICS])
     deciding = [F.col(f"estado_{m.key}") for m in DECIDING]
     return (
-        snapshots.withColumns(states)
+        snapshots.select("*", F.inline(F.array(states)))
         .withColumn("status", status_of(*deciding))
         .withColumn("motivos", reasons_of(F.col("status"), *deciding))
     )
