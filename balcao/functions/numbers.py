@@ -8,11 +8,19 @@ from pyspark.sql import Column, functions as F
 def rounded(value: Column, digits: int) -> Column:
     """Round a double half away from zero on the scaled value.
 
-    `round(x, n)` of Spark works on the shortest decimal text of the double,
-    the tables were defined with rounding of `x * 10^n`; both differ on ties.
+    `round(x, n)` of Spark works on the shortest decimal text of the double: it
+    differs on ties from rounding `x * 10^n`, which the tables are defined by,
+    and goes through BigDecimal for every row.
     """
-    scale = F.lit(float(10**digits))
-    return F.round(value.cast("double") * scale) / scale
+    scaled = value.cast("double") * F.lit(float(10**digits))
+    nearest = F.rint(scaled)
+    tie = F.abs(scaled - nearest) == 0.5
+    return F.when(tie, scaled + F.signum(scaled) * 0.5).otherwise(nearest) / F.lit(float(10**digits))
+
+
+def cents(money: Column) -> Column:
+    """Money as a whole number of cents, exact for doubles with two decimals."""
+    return F.floor(money * 100 + F.lit(0.5)).cast("bigint")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

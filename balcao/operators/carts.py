@@ -12,9 +12,8 @@ from balcao.functions.text import locale_order
 
 TOP = 5
 # A cart of c products hides at most c - 1 partners of one of them, so the first
-# TOP + c - 1 partners are enough: with PREFIX partners, carts up to SMALL products.
+# TOP + c - 1 partners are enough: PREFIX of them serve carts of PREFIX - TOP + 1.
 PREFIX = 32
-SMALL = PREFIX - TOP + 1
 ORIGINS_PER_ROW = 1000
 # Float noise of a product over the origins must not decide an order.
 SCORE_DIGITS = 9
@@ -26,14 +25,16 @@ PARTNER = [
 OUTPUT = ["cart_id", "produto_x", *PARTNER[1:]]
 
 
-def _with_size(carts: DataFrame) -> DataFrame:
-    return carts.join(carts.groupBy("cart_id").agg(F.count(F.lit(1)).alias("tamanho")), "cart_id")
+def _oversized(carts: DataFrame, limit: int) -> DataFrame:
+    """Carts with more than `limit` products; a stage of its own, so AQE can see it empty."""
+    sizes = carts.groupBy("cart_id").agg(F.count(F.lit(1)).alias("tamanho"))
+    return sizes.filter(F.col("tamanho") > limit).hint("rebalance")
 
 
-def _small_carts(sized: DataFrame, partners: DataFrame, prefix: int, limit: int) -> DataFrame:
+def _small_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame, prefix: int) -> DataFrame:
     """The cart travels as an array: exclusion and cut happen inside the row."""
     folded = (
-        sized.filter(F.col("tamanho") <= limit)
+        carts.join(oversized, "cart_id", "left_anti")
         .groupBy("cart_id")
         .agg(F.collect_list("product_id").alias("itens"))
         .select("cart_id", "itens", F.explode("itens").alias("produto_x"))
@@ -52,7 +53,7 @@ def _small_carts(sized: DataFrame, partners: DataFrame, prefix: int, limit: int)
     )
 
 
-def _large_carts(carts: DataFrame, sized: DataFrame, partners: DataFrame, limit: int) -> DataFrame:
+def _large_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame) -> DataFrame:
     """Partners are fetched by position, so a popular product brings only those it needs.
 
     A cart asks for no position its product does not have: whatever its size, it
@@ -60,7 +61,7 @@ def _large_carts(carts: DataFrame, sized: DataFrame, partners: DataFrame, limit:
     """
     available = partners.groupBy("produto_x").agg(F.max("posicao").alias("parceiros"))
     asked = (
-        sized.filter(F.col("tamanho") > limit)
+        carts.join(oversized, "cart_id")
         .withColumnRenamed("product_id", "produto_x")
         .join(available, "produto_x")
         .withColumn("ate", F.least(F.col("tamanho") + TOP - 1, F.col("parceiros")).cast("int"))
@@ -79,11 +80,10 @@ def _large_carts(carts: DataFrame, sized: DataFrame, partners: DataFrame, limit:
 
 def top_partners(carts: DataFrame, partners: DataFrame, prefix: int = PREFIX) -> DataFrame:
     """The five best partners of each product of each cart, none of them in the cart."""
-    limit = prefix - TOP + 1
     carts = carts.select("cart_id", "product_id").distinct()
-    sized = _with_size(carts)
-    small = _small_carts(sized, partners, prefix, limit)
-    return small.unionByName(_large_carts(carts, sized, partners, limit))
+    oversized = _oversized(carts, prefix - TOP + 1)
+    small = _small_carts(carts, oversized, partners, prefix)
+    return small.unionByName(_large_carts(carts, oversized, partners))
 
 
 def combined_suggestions(top: DataFrame) -> DataFrame:
@@ -92,8 +92,8 @@ def combined_suggestions(top: DataFrame) -> DataFrame:
     combined = F.greatest(F.lit(0.0), F.least(F.lit(100.0), (1 - F.product(miss)) * 100))
     weight = F.sum("pedidos_com_x_e_y")
     others = F.coalesce(ratio(F.sum(F.col("pct_outros") * F.col("pedidos_com_x_e_y")), weight), F.lit(0.0))
-    merged = top.groupBy("cart_id", "produto_y").agg(
-        F.max("nome_y").alias("nome_y"),
+    # The name belongs to the product; as a key it keeps the aggregate on hashing.
+    merged = top.groupBy("cart_id", "produto_y", "nome_y").agg(
         combined.alias("associacao_combinada"),
         others.alias("media_outros_produtos"),
         weight.alias("total_pedidos_conjuntos"),

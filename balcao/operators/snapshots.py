@@ -1,8 +1,8 @@
 """Monthly snapshots of every customer over three consecutive quarters.
 
 A snapshot of month m looks at months m-2..m (3m), m-5..m-3 (6m) and m-8..m-6
-(9m). All months are computed together: each customer gets one row per calendar
-month, zero when nothing was bought, and the quarters are window frames on it.
+(9m). All months are computed together: each month of purchases is added to the
+nine snapshots that look back on it.
 """
 
 from __future__ import annotations
@@ -10,19 +10,19 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from balcao.functions import months as M
 from balcao.functions.numbers import rounded, weighted_discount
 from balcao.operators.gold import company_names, monthly_volume
+from balcao.sources.schemas import MONEY
 
-BANDS = {"3m": (-2, 0), "6m": (-5, -3), "9m": (-8, -6)}
+# Months back from the snapshot, newest and oldest of each band.
+BANDS = {"3m": (0, 2), "6m": (3, 5), "9m": (6, 8)}
 MONTHS_PER_BAND = 3
 HISTORY = 9
-MEASURES = [
-    "receita_total", "receita_sem_desconto", "quantidade_pedidos",
-    "quantidade_produtos_distintos", "quantidade_itens",
-]
+MONEY_MEASURES = ["receita_total", "receita_sem_desconto"]
+COUNT_MEASURES = ["quantidade_pedidos", "quantidade_produtos_distintos", "quantidade_itens"]
 
 
 # ── periods ───────────────────────────────────────────────────
@@ -52,8 +52,8 @@ def period_of(processing_day: date | str) -> Period:
     last = M.last_closed_day(day)
     first = M.first_of_month(last)
     bands = {
-        name: M.keys_between(M.plus_months(first, lo), M.plus_months(first, hi))
-        for name, (lo, hi) in BANDS.items()
+        name: M.keys_between(M.plus_months(first, -oldest), M.plus_months(first, -newest))
+        for name, (newest, oldest) in BANDS.items()
     }
     return Period(day, M.key_of_day(first), first, last, bands)
 
@@ -111,9 +111,9 @@ def snapshot_months(orders: DataFrame) -> DataFrame:
     months = valid.select(F.explode(F.sequence("idx_primeiro", "idx_ultimo")).alias("mes_idx"))
     first_day = F.to_date(F.concat(M.key_of_index(F.col("mes_idx")), F.lit("-01")))
     limits = [
-        M.key_of_index(F.col("mes_idx") + offset).alias(f"{side}_{name}")
+        M.key_of_index(F.col("mes_idx") - back).alias(f"{side}_{name}")
         for name, pair in BANDS.items()
-        for side, offset in zip(("inicio", "fim"), pair)
+        for side, back in zip(("fim", "inicio"), pair)
     ]
     return months.select(
         M.key_of_index(F.col("mes_idx")).alias("ano_mes"),
@@ -145,69 +145,68 @@ def single_month(period: Period) -> Range:
     return Range(F.lit(period.index), F.lit(period.index))
 
 
-def dense_months(orders: DataFrame, details: DataFrame, span: Range) -> DataFrame:
-    """One row per customer and month since the first order, zero where nothing was bought.
+def months_in_reach(orders: DataFrame, details: DataFrame, span: Range) -> DataFrame:
+    """(cliente_id, mes_idx, atras, measures): a month of purchases under each of the nine
+    snapshots that look back on it, `atras` months later.
 
-    Customers enter with their first order, with or without items, and stay.
-    The rows of one customer are at most two per month, so a single shuffle by
-    customer serves the zero fill and every window that follows.
+    Customers enter with their first order, with or without items, and stay: one
+    row without measures per later snapshot stands for that. A customer sends at
+    most one row per month through the shuffle and is unfolded behind it; grouping
+    by customer and snapshot needs no other. Money travels as whole cents.
     """
     known = orders.filter(M.month_index(F.col("order_date")) <= span.last)
     oldest = span.first - (HISTORY - 1)
-    spine = (
-        known.groupBy(F.col("customer_id").alias("cliente_id"))
-        .agg(M.month_index(F.min("order_date")).alias("entrada"))
-        .select("cliente_id", F.explode(F.sequence(F.greatest("entrada", oldest), span.last)).alias("mes_idx"))
-    )
     recent = known.filter(M.month_index(F.col("order_date")) >= oldest)
-    bought = monthly_volume(recent, details).select(
+    bought = monthly_volume(recent, details).withColumn("idx", M.index_of_key(F.col("ano_mes")))
+    bought = bought.select(
         "cliente_id",
-        M.index_of_key(F.col("ano_mes")).alias("mes_idx"),
-        F.lit(1).alias("mes_ativo"),
-        *MEASURES,
+        "idx",
+        F.col("idx").alias("de"),
+        F.least(F.col("idx") + HISTORY - 1, span.last).alias("ate"),
+        F.lit(1).cast("bigint").alias("mes_ativo"),
+        *[(F.col(c) * 100).cast("bigint").alias(c) for c in MONEY_MEASURES],
+        *COUNT_MEASURES,
+    )
+    present = (
+        known.groupBy(F.col("customer_id").alias("cliente_id"))
+        .agg(M.month_index(F.min("order_date")).alias("de"))
+        .withColumn("ate", span.last)
     )
     return (
-        spine.unionByName(bought, allowMissingColumns=True)
+        bought.unionByName(present, allowMissingColumns=True)
         .repartition("cliente_id")
-        .groupBy("cliente_id", "mes_idx")
-        .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ["mes_ativo", *MEASURES]])
+        .withColumn("de", F.greatest("de", span.first))
+        .filter(F.col("de") <= F.col("ate"))
+        .withColumn("mes_idx", F.explode(F.sequence("de", "ate")))
+        .withColumn("atras", F.col("mes_idx") - F.col("idx"))
+        .drop("idx", "de", "ate")
     )
 
 
-def eligible_rows(orders: DataFrame, customers: DataFrame, span: Range) -> DataFrame:
-    """How many snapshot rows the orders call for, without building them."""
-    entry = (
-        orders.groupBy(F.col("customer_id").alias("cliente_id"))
-        .agg(M.month_index(F.min("order_date")).alias("entrada"))
-        .join(company_names(customers), "cliente_id", "left_semi")
-    )
-    months = span.last - F.greatest("entrada", span.first) + 1
-    return entry.agg(F.coalesce(F.sum(F.greatest(months, F.lit(0))), F.lit(0)).alias("valor"))
-
-
 def _sums(name: str) -> list[Column]:
-    """Totals of a band, one window column per measure."""
-    frame = Window.partitionBy("cliente_id").orderBy("mes_idx").rowsBetween(*BANDS[name])
+    """Totals of a band."""
+    inside = F.col("atras").between(*BANDS[name])
     return [
-        F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"{c}_{name}") for c in ["mes_ativo", *MEASURES]
+        F.coalesce(F.sum(F.when(inside, F.col(c))), F.lit(0)).alias(f"{c}_{name}")
+        for c in ["mes_ativo", *MONEY_MEASURES, *COUNT_MEASURES]
     ]
 
 
 def _metrics(name: str) -> list[Column]:
     """The seven metrics of a band; means always divide by its three months."""
 
-    def mean(column: str, digits: int = 2) -> Column:
-        return rounded(F.col(f"{column}_{name}").cast("double") / MONTHS_PER_BAND, digits)
+    def mean(total: Column, digits: int = 2) -> Column:
+        return rounded(total.cast("double") / MONTHS_PER_BAND, digits)
 
-    net, gross = F.col(f"receita_total_{name}"), F.col(f"receita_sem_desconto_{name}")
+    net, gross = F.col(f"receita_total_{name}") / 100, F.col(f"receita_sem_desconto_{name}") / 100
     return [
-        mean("mes_ativo", 4).alias(f"frequencia_compra_{name}"),
-        mean("receita_total").alias(f"receita_media_{name}"),
-        mean("receita_sem_desconto").alias(f"receita_sem_desconto_media_{name}"),
+        mean(F.col(f"mes_ativo_{name}"), 4).alias(f"frequencia_compra_{name}"),
+        mean(net).alias(f"receita_media_{name}"),
+        mean(gross).alias(f"receita_sem_desconto_media_{name}"),
         weighted_discount(net, gross).alias(f"desconto_medio_{name}"),
-        mean("quantidade_pedidos").alias(f"quantidade_pedidos_media_{name}"),
-        mean("quantidade_produtos_distintos").alias(f"quantidade_produtos_distintos_media_{name}"),
-        mean("quantidade_itens").alias(f"quantidade_itens_media_{name}"),
+        mean(F.col(f"quantidade_pedidos_{name}")).alias(f"quantidade_pedidos_media_{name}"),
+        mean(F.col(f"quantidade_produtos_distintos_{name}")).alias(f"quantidade_produtos_distintos_media_{name}"),
+        mean(F.col(f"quantidade_itens_{name}")).alias(f"quantidade_itens_media_{name}"),
     ]
 
 
@@ -215,18 +214,13 @@ def historico_cliente_metricas(
     orders: DataFrame, details: DataFrame, customers: DataFrame, span: Range | None = None
 ) -> DataFrame:
     """Snapshot rows of every eligible customer for every month of `span`."""
-    span = span or full_range(orders)
-    dense = dense_months(orders, details, span)
-    sums = dense.select("cliente_id", "mes_idx", *[c for name in BANDS for c in _sums(name)])
-    return (
-        sums.filter(F.col("mes_idx") >= span.first)
-        .join(company_names(customers), "cliente_id")
-        .select(
-            M.key_of_index(F.col("mes_idx")).alias("ano_mes"),
-            "cliente_id",
-            "nome_empresa",
-            *[c for name in BANDS for c in _metrics(name)],
-        )
+    reach = months_in_reach(orders, details, span or full_range(orders))
+    sums = reach.groupBy("cliente_id", "mes_idx").agg(*[c for name in BANDS for c in _sums(name)])
+    return sums.join(company_names(customers), "cliente_id").select(
+        M.key_of_index(F.col("mes_idx")).alias("ano_mes"),
+        "cliente_id",
+        "nome_empresa",
+        *[c for name in BANDS for c in _metrics(name)],
     )
 
 
@@ -241,24 +235,35 @@ def process_month(
 
 def volume_series(orders: DataFrame, details: DataFrame, span: Range | None = None) -> DataFrame:
     """Orders and revenue of the nine months ending at each snapshot month of each customer."""
-    span = span or full_range(orders)
-    by_month = Window.partitionBy("cliente_id").orderBy("mes_idx")
+    reach = months_in_reach(orders, details, span or full_range(orders))
+
+    def at(column: str, back: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("atras") == back, F.col(column))), F.lit(0))
+
     points = [
         F.struct(
-            (F.col("mes_idx") - back).alias("idx"),
-            F.lag("quantidade_pedidos", back, 0).over(by_month).alias("quantidade_pedidos"),
-            F.coalesce(F.lag("receita_total", back).over(by_month), F.lit(0)).alias("receita_total"),
+            F.lit(back).alias("atras"),
+            at("quantidade_pedidos", back).alias("quantidade_pedidos"),
+            at("receita_total", back).alias("centavos"),
         )
         for back in range(HISTORY)
     ]
-    dense = dense_months(orders, details, span)
-    series = dense.select("cliente_id", "mes_idx", F.array(*points).alias("pontos")).filter(
-        F.col("mes_idx") >= span.first
+    series = reach.groupBy("cliente_id", "mes_idx").agg(F.array(*points).alias("pontos"))
+    return series.select("cliente_id", "mes_idx", F.inline("pontos")).select(
+        "cliente_id",
+        M.key_of_index(F.col("mes_idx")).alias("ano_mes_fim"),
+        M.key_of_index(F.col("mes_idx") - F.col("atras")).alias("ano_mes"),
+        "quantidade_pedidos",
+        (F.col("centavos") / 100).cast(MONEY).alias("receita_total"),
     )
-    return series.select(
-        "cliente_id", M.key_of_index(F.col("mes_idx")).alias("ano_mes_fim"), F.explode("pontos").alias("p")
-    ).select(
-        "cliente_id", "ano_mes_fim", M.key_of_index(F.col("p.idx")).alias("ano_mes"),
-        F.col("p.quantidade_pedidos").alias("quantidade_pedidos"),
-        F.col("p.receita_total").alias("receita_total"),
+
+
+def eligible_rows(orders: DataFrame, customers: DataFrame, span: Range) -> DataFrame:
+    """How many snapshot rows the orders call for, without building them."""
+    entry = (
+        orders.groupBy(F.col("customer_id").alias("cliente_id"))
+        .agg(M.month_index(F.min("order_date")).alias("entrada"))
+        .join(company_names(customers), "cliente_id", "left_semi")
     )
+    months = span.last - F.greatest("entrada", span.first) + 1
+    return entry.agg(F.coalesce(F.sum(F.greatest(months, F.lit(0))), F.lit(0)).alias("valor"))

@@ -278,7 +278,7 @@ CTES = {
     "top5": f"""
         SELECT * FROM (
             SELECT c.cart_id, a.*,
-                   row_number() OVER (PARTITION BY c.cart_id, a.produto_x ORDER BY {ORDER_PARTNER}) AS ordem
+                   CAST(row_number() OVER (PARTITION BY c.cart_id, a.produto_x ORDER BY {ORDER_PARTNER}) AS INTEGER) AS ordem
             FROM carts c JOIN assoc a ON a.produto_x = c.product_id
             WHERE NOT EXISTS (SELECT 1 FROM carts k WHERE k.cart_id = c.cart_id AND k.product_id = a.produto_y))
         WHERE ordem <= 5""",
@@ -292,8 +292,8 @@ CTES = {
         SELECT *, associacao_combinada * (1 - 0.25 * (media_outros_produtos / 100)) AS indice_oportunidade
         FROM sugestoes_cruas""",
     "sugestoes_ordem": """
-        SELECT *, row_number() OVER (PARTITION BY cart_id ORDER BY round(indice_oportunidade, 9) DESC,
-                                     total_pedidos_conjuntos DESC, nome_y, produto_y) AS posicao
+        SELECT *, CAST(row_number() OVER (PARTITION BY cart_id ORDER BY round(indice_oportunidade, 9) DESC,
+                                          total_pedidos_conjuntos DESC, nome_y, produto_y) AS INTEGER) AS posicao
         FROM sugestoes""",
     "consumo": """
         SELECT cliente_id, produto_id, CAST(sum(quantidade_consumida) AS BIGINT) AS quantidade_total
@@ -610,8 +610,8 @@ QUERIES = {
     "consumo_cliente": "SELECT * FROM consumo",
     "produtos_rank_cliente": """
         SELECT cliente_id, produto_id, p.produto_nome, quantidade_total,
-               row_number() OVER (PARTITION BY cliente_id ORDER BY quantidade_total DESC, p.produto_nome, produto_id)
-                   AS posicao
+               CAST(row_number() OVER (PARTITION BY cliente_id ORDER BY quantidade_total DESC, p.produto_nome,
+                                       produto_id) AS INTEGER) AS posicao
         FROM consumo JOIN produtos p USING (produto_id)""",
     "catalogo_alfabetico": "SELECT produto_id, produto_nome, categoria_nome, preco_unitario FROM produtos",
     "ofertas_mes": f"""
@@ -710,8 +710,9 @@ QUERIES = {
     "acoes_base": f"SELECT {ACTION} FROM acoes",
     "acoes_score": f"SELECT {ACTION}, score FROM acoes_score",
     "acoes_ranked": f"""
-        SELECT {ACTION}, score, row_number() OVER (PARTITION BY cliente_id, ano_mes ORDER BY score DESC,
-                   a.oferta DESC NULLS LAST, produto_nome, produto_id) AS posicao
+        SELECT {ACTION}, score,
+               CAST(row_number() OVER (PARTITION BY cliente_id, ano_mes ORDER BY score DESC,
+                    a.oferta DESC NULLS LAST, produto_nome, produto_id) AS INTEGER) AS posicao
         FROM acoes_score a""",
 }
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from balcao.functions.numbers import rounded
+from balcao.functions.numbers import cents, rounded
 
 def brand_number() -> Column:
     """'Brand#17' -> 17"""
@@ -43,15 +43,15 @@ class Raw:
         return orders.join(shipped, "order_id", "left")
 
     def order_details(self) -> DataFrame:
-        price = F.col("l_extendedprice").cast("decimal(14,2)")
+        """Summed as whole cents; decimals are made once per item, after the grouping."""
         units = F.sum("l_quantity")
         return (
             self.table("lineitem")
             .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"))
             .agg(
-                rounded(F.sum(price).cast("double") / units, 2).alias("unit_price"),
+                rounded(F.sum(cents(F.col("l_extendedprice"))) / 100 / units, 2).alias("unit_price"),
                 units.alias("quantity"),
-                F.max(F.col("l_discount").cast("decimal(4,2)")).alias("discount"),
+                F.max("l_discount").alias("discount"),
             )
         )
 
