@@ -10,20 +10,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from balcao.functions.months import month_key
 from balcao.functions.numbers import ratio
 from balcao.functions.text import locale_order
-from balcao.operators.gold import dated_items
 
 BLOCK = 256
 
 
-def basket_items(orders: DataFrame, details: DataFrame, products: DataFrame) -> DataFrame:
-    """Items of known orders and known products, with the product name."""
+def basket_items(details: DataFrame, products: DataFrame) -> DataFrame:
+    """Items of known products, with the product name."""
     names = products.select("product_id", F.col("product_name").alias("nome"))
-    return (
-        details.select("order_id", "product_id", F.col("quantity").alias("quantidade"))
-        .join(orders.select("order_id"), "order_id", "left_semi")
-        .join(names, "product_id")
+    return details.select("order_id", "product_id", F.col("quantity").alias("quantidade")).join(
+        names, "product_id"
     )
 
 
@@ -37,68 +35,82 @@ def _oversized(items: DataFrame, block: int) -> DataFrame:
     return sizes.filter(F.col("total") > block).hint("rebalance")
 
 
-def _tiles(items: DataFrame, oversized: DataFrame, block: int, member: Column) -> DataFrame:
-    """Pairs of the large orders: both sides are hashed into parts, a tile is a pair of parts."""
+def _folded(items: DataFrame, oversized: DataFrame, header: DataFrame, member: Column) -> DataFrame:
+    """One row per ordinary order; the order's columns join here, before any pair exists."""
+    return (
+        items.join(oversized, "order_id", "left_anti")
+        .groupBy("order_id")
+        .agg(F.collect_list(member).alias("itens"))
+        .join(header, "order_id")
+        .withColumn("total", F.size("itens").cast("bigint"))
+    )
+
+
+def _tiles(items: DataFrame, oversized: DataFrame, header: DataFrame, block: int, member: Column) -> DataFrame:
+    """All (x, y) of the large orders: both sides are hashed into parts, a tile is a pair of parts."""
     parts = oversized.withColumn("partes", F.ceil(F.col("total") / block).cast("int"))
     part = F.pmod(F.xxhash64("product_id"), F.col("partes")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("partes") - 1))
-    hot = items.join(parts, "order_id").select("order_id", "total", "partes", part.alias("p"), member.alias("m"))
-    left = hot.select("order_id", "total", F.col("m").alias("x"), F.col("p").alias("px"), every.alias("py"))
+    hot = items.join(parts.join(header, "order_id"), "order_id").select(
+        *header.columns, "total", "partes", part.alias("p"), member.alias("m")
+    )
+    left = hot.select(*header.columns, "total", F.col("m").alias("x"), F.col("p").alias("px"), every.alias("py"))
     right = hot.select("order_id", F.col("m").alias("y"), every.alias("px"), F.col("p").alias("py"))
-    return left.join(right, ["order_id", "px", "py"]).select("order_id", "total", "x", "y")
+    return left.join(right, ["order_id", "px", "py"]).select(*header.columns, "total", "x", "y")
 
 
-def directed_pairs(items: DataFrame, columns: list[str], block: int = BLOCK) -> DataFrame:
-    """(order_id, total, x, y): every ordered pair of different products of an order.
+def directed_pairs(items: DataFrame, header: DataFrame, columns: list[str], block: int = BLOCK) -> DataFrame:
+    """Every ordered pair (x, y) of different products of an order, beside the order's columns.
 
     `x` and `y` are structs of `columns`, the first one being the product. An
     order with a single product yields one row whose `y` is NULL.
     """
     member = F.struct(*columns)
     oversized = _oversized(items, block)
-    folded = (
-        items.join(oversized, "order_id", "left_anti")
-        .groupBy("order_id")
-        .agg(F.collect_list(member).alias("itens"))
-    )
+    folded = _folded(items, oversized, header, member)
     alone = F.array(F.lit(None).cast(folded.schema["itens"].dataType.elementType))
-    total = F.size("itens").cast("bigint")
-    ordinary = folded.select("order_id", "itens", total.alias("total"), F.explode("itens").alias("x")).select(
-        "order_id",
-        "total",
-        "x",
-        F.explode(F.when(F.col("total") == 1, alone).otherwise(F.col("itens"))).alias("y"),
+    others = F.when(F.col("total") == 1, alone).otherwise(F.col("itens"))
+    ordinary = folded.select(*header.columns, "total", "itens", F.explode("itens").alias("x")).select(
+        *header.columns, "total", "x", F.explode(others).alias("y")
     )
     different = F.col(f"y.{columns[0]}").isNull() | (F.col(f"x.{columns[0]}") != F.col(f"y.{columns[0]}"))
-    return ordinary.unionByName(_tiles(items, oversized, block, member)).filter(different)
+    return ordinary.unionByName(_tiles(items, oversized, header, block, member)).filter(different)
 
 
-def undirected_pairs(items: DataFrame, block: int = BLOCK) -> DataFrame:
+def undirected_pairs(items: DataFrame, header: DataFrame, block: int = BLOCK) -> DataFrame:
     """(total, x, y) with x < y: half of the directed pairs, enough for counting."""
     oversized = _oversized(items, block)
-    folded = (
-        items.join(oversized, "order_id", "left_anti")
-        .groupBy("order_id")
-        .agg(F.array_sort(F.collect_list("product_id")).alias("itens"))
-    )
-    ordinary = folded.select(
-        F.size("itens").cast("bigint").alias("total"), "itens", F.posexplode("itens").alias("i", "x")
-    ).select(
-        "total", "x", F.explode(F.slice("itens", F.col("i") + 2, F.col("total").cast("int"))).alias("y")
+    product = F.col("product_id")
+    ordinary = (
+        _folded(items, oversized, header, product)
+        .select("total", F.sort_array("itens").alias("itens"))
+        .select("total", "itens", F.posexplode("itens").alias("i", "x"))
+        .select("total", "x", F.explode(F.slice("itens", F.col("i") + 2, F.col("total").cast("int"))).alias("y"))
     )
-    tiled = _tiles(items, oversized, block, F.col("product_id")).filter(F.col("x") < F.col("y"))
+    tiled = _tiles(items, oversized, header, block, product).filter(F.col("x") < F.col("y"))
     return ordinary.unionByName(tiled.select("total", "x", "y"))
 
 
+def orders_per_product(items: DataFrame, header: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Orders each product is in, unfolded from the same arrays the pairs come from."""
+    oversized = _oversized(items, block)
+    ordinary = _folded(items, oversized, header, F.col("product_id")).select(F.explode("itens").alias("produto_x"))
+    large = items.join(oversized.join(header, "order_id"), "order_id").select(F.col("product_id").alias("produto_x"))
+    return ordinary.unionAll(large).groupBy("produto_x").agg(F.count(F.lit(1)).alias("pedidos_com_x"))
+
+
 def produtos_associados(
     orders: DataFrame, details: DataFrame, products: DataFrame, block: int = BLOCK
 ) -> DataFrame:
     """One row per order, product bought and companion; single-product orders keep a NULL companion."""
-    items = basket_items(orders, details, products)
-    pairs = directed_pairs(items, ["product_id", "nome", "quantidade"], block)
-    header = dated_items(orders, pairs)
+    header = orders.select(
+        "order_id", "customer_id", "order_date", month_key(F.col("order_date")).alias("ano_mes")
+    )
+    pairs = directed_pairs(
+        basket_items(details, products), header, ["product_id", "nome", "quantidade"], block
+    )
     others = F.when(F.col("total") == 1, F.lit(0)).otherwise(F.col("total") - 2).cast("bigint")
-    return header.select(
+    return pairs.select(
         "ano_mes",
         F.col("order_date").alias("data_compra"),
         F.col("order_id").alias("id_compra"),
@@ -117,37 +129,32 @@ def produtos_associados(
 def association_stats(
     orders: DataFrame, details: DataFrame, products: DataFrame, block: int = BLOCK
 ) -> DataFrame:
-    """For every X -> Y: orders with X, with both, with both and others, and the two shares."""
-    items = basket_items(orders, details, products)
-    # Pairs are counted once per couple with a map-side combine, then mirrored.
+    """For every X -> Y: orders with X, with both, with both and others, and the two shares.
+
+    Pairs are counted once per couple with a map-side combine and mirrored afterwards.
+    The join on X comes last: the ranking per X then finds its rows in place.
+    """
+    items, header = basket_items(details, products), orders.select("order_id")
     couples = (
-        undirected_pairs(items, block)
+        undirected_pairs(items, header, block)
         .groupBy("x", "y")
         .agg(
             F.count(F.lit(1)).alias("pedidos_com_x_e_y"),
-            F.count_if(F.col("total") > 2).alias("pedidos_com_outros"),
+            F.sum((F.col("total") > 2).cast("int")).alias("pedidos_com_outros"),
         )
     )
     both_ways = F.array(
-        F.struct(F.col("x").alias("a"), F.col("y").alias("b")),
-        F.struct(F.col("y").alias("a"), F.col("x").alias("b")),
-    )
-    mirrored = couples.select(
-        F.explode(both_ways).alias("par"), "pedidos_com_x_e_y", "pedidos_com_outros"
-    ).select(
-        F.col("par.a").alias("produto_x"), F.col("par.b").alias("produto_y"),
-        "pedidos_com_x_e_y", "pedidos_com_outros",
-    )
-    orders_of_x = items.groupBy(F.col("product_id").alias("produto_x")).agg(
-        F.count(F.lit(1)).alias("pedidos_com_x")
+        F.struct(F.col("x").alias("produto_x"), F.col("y").alias("produto_y")),
+        F.struct(F.col("y").alias("produto_x"), F.col("x").alias("produto_y")),
     )
+    mirrored = couples.select(F.inline(both_ways), "pedidos_com_x_e_y", "pedidos_com_outros")
     names = products.select(
         F.col("product_id").alias("produto_y"), F.col("product_name").alias("nome_y")
     )
     together, n = F.col("pedidos_com_x_e_y"), F.col("pedidos_com_x")
     return (
-        mirrored.join(orders_of_x, "produto_x")
-        .join(names, "produto_y")
+        mirrored.join(names, "produto_y")
+        .join(orders_per_product(items, header, block), "produto_x")
         .select(
             "produto_x", "produto_y", "nome_y", "pedidos_com_x", "pedidos_com_x_e_y",
             "pedidos_com_outros",

@@ -42,7 +42,7 @@ def _small_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame, pr
     best = (
         partners.filter(F.col("posicao") <= prefix)
         .groupBy("produto_x")
-        .agg(F.array_sort(F.collect_list(F.struct(*PARTNER))).alias("parceiros"))
+        .agg(F.sort_array(F.collect_list(F.struct(*PARTNER))).alias("parceiros"))
     )
     allowed = F.filter("parceiros", lambda p: ~F.array_contains("itens", p["produto_y"]))
     return (
@@ -132,7 +132,7 @@ def suggestion_origins(top: DataFrame, products: DataFrame) -> DataFrame:
         .withColumn("ordem_origem", F.row_number().over(best_first))
         .withColumn("parte", F.floor((F.col("ordem_origem") - 1) / ORIGINS_PER_ROW).cast("int"))
         .groupBy("cart_id", "produto_y", "parte")
-        .agg(F.array_sort(F.collect_list(origin)).alias("origens"))
+        .agg(F.sort_array(F.collect_list(origin)).alias("origens"))
     )
 
 

@@ -69,7 +69,7 @@ def _snapshot_quality(m: Model) -> DataFrame:
         m.metricas,
         months,
         key_of_index(m.span.last),
-        snapshots.eligible_rows(m.orders, m.customers, m.span),
+        snapshots.eligible_rows(m.orders, m.named_customers, m.span),
         gold.monthly_volume(base_orders, m.details),
     )
 
@@ -168,7 +168,7 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "busca_clientes": lambda m: search.search_clients(m.clientes, "nàtion_1"),
     # customers
     "meses_metricas": _month_names,
-    "clientes_do_mes": lambda m: status.clients_of_month(m.metricas, m.clientes),
+    "clientes_do_mes": lambda m: status.clients_of_month(m.metricas, gold.clientes(m.named_customers)),
     "variacao": _change_rows,
     "tendencias": lambda m: m.tendencias,
     "status_clientes": _status_rows,

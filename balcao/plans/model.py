@@ -24,6 +24,10 @@ class Model:
     def customers(self) -> DataFrame:
         return silver.customers(self.raw.customers())
 
+    @cached_property
+    def named_customers(self) -> DataFrame:
+        return silver.customers(self.raw.plain_customers())
+
     @cached_property
     def orders(self) -> DataFrame:
         return silver.orders(self.raw.orders())
@@ -68,11 +72,11 @@ class Model:
 
     @cached_property
     def historico_produtos(self) -> DataFrame:
-        return gold.historico_cliente_produtos(self.orders, self.details, self.customers, self.products)
+        return gold.historico_cliente_produtos(self.orders, self.details, self.named_customers, self.products)
 
     @cached_property
     def historico_volume(self) -> DataFrame:
-        return gold.historico_cliente_volume(self.orders, self.details, self.customers)
+        return gold.historico_cliente_volume(self.orders, self.details, self.named_customers)
 
     @cached_property
     def associados(self) -> DataFrame:
@@ -86,11 +90,11 @@ class Model:
 
     @cached_property
     def metricas(self) -> DataFrame:
-        return snapshots.historico_cliente_metricas(self.orders, self.details, self.customers, self.span)
+        return snapshots.historico_cliente_metricas(self.orders, self.details, self.named_customers, self.span)
 
     @cached_property
     def com_status(self) -> DataFrame:
-        return status.with_status(status.clients_of_month(self.metricas, self.clientes))
+        return status.with_status(status.clients_of_month(self.metricas, gold.clientes(self.named_customers)))
 
     @cached_property
     def tendencias(self) -> DataFrame:

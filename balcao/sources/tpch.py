@@ -71,6 +71,14 @@ class Raw:
             )
         )
 
+    def plain_customers(self) -> DataFrame:
+        """Without country and region, which only the register needs."""
+        return self.table("customer").select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("company_name"),
+            F.col("c_mktsegment").alias("contact_name"),
+        )
+
     def products(self) -> DataFrame:
         supplier = (
             self.table("lineitem")
