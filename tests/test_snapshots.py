@@ -1,0 +1,100 @@
+"""Periods, coverage and the three bands."""
+
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+
+from balcao.operators import snapshots as S
+
+
+def _orders(spark, *days, customer="A"):
+    rows = [(i, customer, date.fromisoformat(d)) for i, d in enumerate(days, 1)]
+    return spark.createDataFrame(rows, "order_id long, customer_id string, order_date date")
+
+
+@pytest.mark.parametrize("day", ["1997-05-01", "1997-05-25"])
+def test_period_is_the_month_before(day):
+    period = S.period_of(day)
+    assert period.month == "1997-04" and period.last_day == date(1997, 4, 30)
+    assert period.bands == {
+        "3m": ["1997-02", "1997-03", "1997-04"],
+        "6m": ["1996-11", "1996-12", "1997-01"],
+        "9m": ["1996-08", "1996-09", "1996-10"],
+    }
+
+
+def test_invalid_day():
+    with pytest.raises(ValueError, match="YYYY-MM-DD"):
+        S.period_of("01/05/1997")
+
+
+def test_coverage(spark):
+    orders = _orders(spark, "1996-07-04", "1997-04-30")
+    with pytest.raises(ValueError, match="1997-05-01"):
+        S.require_coverage(orders, S.period_of("1997-04-01"))
+    assert S.require_coverage(orders, S.period_of("1997-05-01")) == "1996-08"
+    with pytest.raises(ValueError, match="sem dados"):
+        S.require_coverage(_orders(spark, "1996-07-04", "1997-04-29"), S.period_of("1997-05-01"))
+
+
+def test_coverage_starting_on_the_first(spark):
+    report = S.coverage_report(_orders(spark, "1996-07-01", "1997-05-30")).first()
+    assert report.primeiro_mes_completo == "1996-07"
+    assert (report.primeiro_retrato, report.ultimo_retrato, report.retratos) == ("1997-03", "1997-04", 2)
+
+
+@pytest.fixture
+def sales(make_sales):
+    """A buys 300, 0, 600 in the last band; B only long ago; C only after the month."""
+    return make_sales(
+        {
+            1: ("A", "1997-02-10"), 2: ("A", "1997-04-30"), 3: ("A", "1996-08-01"), 4: ("B", "1996-07-01"),
+            5: ("C", "1997-05-31"), 6: ("D", "1997-03-03"), 7: ("A", "1997-02-11"),
+        },
+        [(1, 1, 100, 1, 0), (7, 1, 100, 2, 0), (2, 1, 100, 6, 0), (3, 2, 50, 2, 0.5), (4, 1, 10, 1, 0),
+         (5, 1, 10, 1, 0)],
+    )
+
+
+def _april(rows):
+    return {r.cliente_id: r for r in rows if r.ano_mes == "1997-04"}
+
+
+def test_bands(sales):
+    orders, details, customers, _ = sales
+    rows = _april(S.historico_cliente_metricas(orders, details, customers).collect())
+    assert set(rows) == {"A", "B", "D"}  # D ordered without items, C comes later
+    a = rows["A"]
+    assert a.receita_media_3m == 300.0 and a.frequencia_compra_3m == 0.6667
+    assert a.quantidade_pedidos_media_3m == 1.0 and a.quantidade_itens_media_3m == 3.0
+    assert a.quantidade_produtos_distintos_media_3m == 0.67
+    assert a.frequencia_compra_6m == 0.0 and a.receita_media_6m == 0.0
+    assert a.receita_media_9m == 16.67 and a.receita_sem_desconto_media_9m == 33.33 and a.desconto_medio_9m == 0.5
+    for quiet in ("B", "D"):
+        assert all(v == 0 for k, v in rows[quiet].asDict().items() if k.endswith("m") and not isinstance(v, str))
+
+
+@pytest.mark.parametrize("day", ["1997-05-01", "1997-05-25"])
+def test_one_month_equals_its_rows_among_all(sales, day):
+    orders, details, customers, _ = sales
+    every = _april(S.historico_cliente_metricas(orders, details, customers).collect())
+    single = S.process_month(orders, details, customers, day).collect()
+    assert {r.cliente_id: r for r in single} == every
+
+
+def test_series_has_nine_points(sales):
+    orders, details, *_ = sales
+    rows = [r for r in S.volume_series(orders, details).collect() if r.ano_mes_fim == "1997-04"]
+    a = {r.ano_mes: (r.quantidade_pedidos, float(r.receita_total)) for r in rows if r.cliente_id == "A"}
+    assert sorted(a) == S.M.keys_between(date(1996, 8, 1), date(1997, 4, 1))
+    assert a["1997-02"] == (2, 300.0) and a["1997-03"] == (0, 0.0) and a["1996-08"] == (1, 50.0)
+    assert len([r for r in rows if r.cliente_id == "B"]) == 9
+
+
+def test_expected_rows_follow_from_orders(sales):
+    orders, details, customers, _ = sales
+    span = S.full_range(orders)
+    rows = S.historico_cliente_metricas(orders, details, customers, span).count()
+    assert S.eligible_rows(orders, customers, span).first().valor == rows
