@@ -44,7 +44,8 @@ def _small_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame, pr
         .groupBy("produto_x")
         .agg(F.sort_array(F.collect_list(F.struct(*PARTNER))).alias("parceiros"))
     )
-    allowed = F.filter("parceiros", lambda p: ~F.array_contains("itens", p["produto_y"]))
+    enough = F.slice("parceiros", F.lit(1), F.size("itens") + TOP - 1)
+    allowed = F.filter(enough, lambda p: ~F.array_contains("itens", p["produto_y"]))
     return (
         folded.join(best, "produto_x")
         .select("cart_id", "produto_x", F.posexplode(F.slice(allowed, 1, TOP)).alias("i", "p"))

@@ -104,8 +104,7 @@ def _suggestions_in_context(m: Model) -> DataFrame:
 
 
 def _alphabetical(m: Model) -> DataFrame:
-    shown = carts.alphabetical_catalogue(m.produtos)
-    return shown.select("produto_id", "produto_nome", "categoria_nome", "preco_unitario")
+    return carts.alphabetical_catalogue(m.vitrine)
 
 
 BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
@@ -159,7 +158,7 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "consumo_cliente": lambda m: m.consumo,
     "produtos_rank_cliente": lambda m: carts.rank_consumed(gold.consumption(m.orders, m.details), m.products),
     "catalogo_alfabetico": _alphabetical,
-    "ofertas_mes": lambda m: offers.monthly_offers(m.produtos, m.descontos),
+    "ofertas_mes": lambda m: offers.monthly_offers(m.vitrine, m.descontos),
     "meses_oferta": lambda m: offers.month_list(m.descontos),
     "sugestoes_contexto": _suggestions_in_context,
     "carrinho_contexto": _cart_lines,
