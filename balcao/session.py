@@ -15,8 +15,6 @@ RUNTIME = {
     # A split of a skewed join may cost one more shuffle; a third of the rows
     # on a single key costs far more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Compressed files understate what a broadcast would hold in memory.
-    "spark.sql.sources.fileCompressionFactor": "4.0",
     # The JVM leaves larger methods uncompiled; wide projections then run far
     # faster split into small ones than fused into one.
     "spark.sql.codegen.hugeMethodLimit": "8000",
