@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from balcao.llm import exact_dedup, packing, sharding, url_filter
+from balcao.llm import exact_dedup, packing, quality_rules, sharding, url_filter
 from balcao.session import tune
 
 
@@ -22,6 +22,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(_table(spark, sf_dir, "pages"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.assess(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -38,6 +42,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_url_filters,
+        op3_quality_rules,
         op8_exact_dedup,
         op9_packing,
         op10_sharding,
