@@ -98,16 +98,14 @@ def covered(longest: np.ndarray, least: int) -> np.ndarray:
 
 
 def _word_numbers(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A number for each distinct word, text by text, and a number of its own behind each text."""
-    seen: dict[bytes, int] = {}
-    raw, numbers = data.tobytes(), []
+    """A number for each distinct word of each text, and one behind each text; no two texts share a number."""
+    raw, numbers, base = data.tobytes(), [], 0
     for at, to in zip(bounds[:-1], bounds[1:]):
-        numbers += [seen.setdefault(w, len(seen)) for w in raw[at:to].split()]
-        numbers.append(-1)
-    out = np.array(numbers, dtype=np.int64)
-    ends = np.flatnonzero(out < 0)
-    out[ends] = len(seen) + np.arange(len(ends))
-    return out
+        seen: dict[bytes, int] = {}
+        numbers += [base + seen.setdefault(w, len(seen)) for w in raw[at:to].split()]
+        base += len(seen) + 1
+        numbers.append(base - 1)
+    return np.array(numbers, dtype=np.int64)
 
 
 def _repeated_lines(text: bytes) -> int:

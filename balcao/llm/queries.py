@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from balcao.llm import exact_dedup, packing, quality_rules, sharding, url_filter
+from balcao.llm import exact_dedup, packing, quality_classifier, quality_rules, sharding, url_filter
 from balcao.session import tune
 
 
@@ -26,6 +26,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality_classifier.scores(docs, quality_classifier.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -43,6 +48,7 @@ QUERIES = {
     for f in (
         op2_url_filters,
         op3_quality_rules,
+        op7_quality_classifier,
         op8_exact_dedup,
         op9_packing,
         op10_sharding,
