@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from balcao.llm import exact_dedup, packing, quality_classifier, quality_rules, sharding, url_filter
+from balcao.llm import exact_dedup, packing, quality_classifier, quality_rules, sharding, simhash, url_filter
 from balcao.session import tune
 
 
@@ -26,6 +26,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(_table(spark, sf_dir, "documents"))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, sf_dir, "documents"), shingle=4, distance=4).drop("h")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality_classifier.scores(docs, quality_classifier.fit(docs, _table(spark, sf_dir, "labels")))
@@ -48,6 +52,7 @@ QUERIES = {
     for f in (
         op2_url_filters,
         op3_quality_rules,
+        op5_simhash_near_dedup,
         op7_quality_classifier,
         op8_exact_dedup,
         op9_packing,
