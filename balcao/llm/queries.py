@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from balcao.llm import exact_dedup, packing, quality_classifier, quality_rules, sharding, simhash, url_filter
+from balcao.llm import exact_dedup, packing, quality_classifier, quality_rules, sharding, simhash, superkmer_dedup, url_filter
 from balcao.session import tune
 
 
@@ -26,6 +27,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = {"kept_sha256": F.sha2(F.col("kept"), 256)}
+    return superkmer_dedup.removed(_table(spark, sf_dir, "documents"), window=35, outputs=digest).drop("spans")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"), shingle=4, distance=4).drop("h")
 
@@ -52,6 +58,7 @@ QUERIES = {
     for f in (
         op2_url_filters,
         op3_quality_rules,
+        op4_substring_dedup,
         op5_simhash_near_dedup,
         op7_quality_classifier,
         op8_exact_dedup,
