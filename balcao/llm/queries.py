@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balcao.llm import exact_dedup, packing, quality_classifier, quality_rules, sharding, simhash, superkmer_dedup, url_filter
+from balcao.llm import exact_dedup, packing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, superkmer_dedup, url_filter
 from balcao.session import tune
 
 
@@ -19,6 +19,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = {"kept_sha256": F.sha2(F.col("kept"), 256)}
+    cut = suffix_dedup.removed(_table(spark, sf_dir, "documents"), window=400, keep="none", outputs=digest)
+    n_spans = F.expr("cast(size(spans) div 2 AS long)").alias("n_spans")
+    return cut.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(_table(spark, sf_dir, "pages"))
 
@@ -56,6 +63,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_suffix_array_dedup,
         op2_url_filters,
         op3_quality_rules,
         op4_substring_dedup,

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from balcao.llm.frames import pieces
@@ -102,6 +102,7 @@ class Kind:
     length: int
     lead: int
     classes: tuple[int, int]  # widths of the narrower classes
+    block: int  # windows that a task judges at one time
     read: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, Callable[[int, int], bytes]]]
 
 
@@ -252,7 +253,7 @@ def _verdicts(strings: DataFrame, kind: Kind, judge: Judge, first_stays: bool) -
         rows: list[tuple] = []
         for batch in batches:
             rows += zip(*(c.to_pylist() for c in batch.columns))
-            if sum(r[3] for r in rows) > 1 << 18 or len(rows) > 1 << 14:
+            if sum(r[3] for r in rows) > kind.block:
                 cut = next((i for i in range(len(rows) - 1, 0, -1) if rows[i][0] != rows[i - 1][0]), 0)
                 if cut:
                     yield judged(rows[:cut])
@@ -301,3 +302,25 @@ def covered(spans: np.ndarray, n: int) -> np.ndarray:
     np.add.at(change, spans[0::2], 1)
     np.add.at(change, spans[1::2], -1)
     return np.cumsum(change[:-1]) > 0
+
+
+def attached(docs: DataFrame, judged: DataFrame, outputs: dict[str, Column], window: int, kept_first: bool, total: str) -> DataFrame:
+    """Each row of `docs` with the result of its text; with `kept_first` later copies lose all of theirs.
+
+    `outputs` are made of the column `kept` before the copies of a text take them over.
+    """
+    results = judged.select("t1", "t2", "id", total, "n_removed", "spans", *(c.alias(n) for n, c in outputs.items()))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = named(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))).select("doc_id", "t1", "t2")
+    out = rows.join(results, ["t1", "t2"])
+    if not kept_first:
+        return out.select("doc_id", total, "n_removed", "spans", *outputs)
+    later = ~F.col("doc_id").eqNullSafe(F.col("id")) & (F.col(total) >= window)
+    nothing = judged.sparkSession.range(1).select(F.lit(b"").alias("kept")).select(*outputs.values()).first()
+    return out.select(
+        "doc_id",
+        total,
+        F.when(later, F.col(total)).otherwise(F.col("n_removed")).alias("n_removed"),
+        F.when(later, F.array(F.lit(0).cast("long"), F.col(total))).otherwise(F.col("spans")).alias("spans"),
+        *(F.when(later, F.lit(v)).otherwise(F.col(n)).alias(n) for n, v in zip(outputs, nothing)),
+    )

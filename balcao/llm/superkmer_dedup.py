@@ -31,7 +31,7 @@ def kind(window: int) -> repeats.Kind:
     """Minimisers are pairs of words, so a window has two words at least."""
     if window < 2:
         raise ValueError("a window has two words or more")
-    return repeats.Kind(window, max(1, window * 7 // 10), (max(1, window // 8), 1), _read)
+    return repeats.Kind(window, max(1, window * 7 // 10), (max(1, window // 8), 1), 1 << 18, _read)
 
 
 def _judge(bucket: np.ndarray, packed: list[bytes], far: np.ndarray, count: np.ndarray, rank: np.ndarray):
@@ -93,24 +93,4 @@ def removed(docs: DataFrame, window: int = WINDOW, keep: str = "none", outputs:
     judged = spanned.select("t1", "t2", "text", "id", "copies", "spans").mapInArrow(
         run, "t1 long, t2 long, id long, n_words long, n_removed long, spans array<long>, kept binary"
     )
-    return repeats_attached(docs, judged, outputs, window, kept_first, "n_words")
-
-
-def repeats_attached(docs: DataFrame, judged: DataFrame, outputs: dict[str, Column], window: int, kept_first: bool, total: str) -> DataFrame:
-    """Each row of `docs` with the result of its text; with `kept_first` later copies lose all of theirs."""
-    none = {n: c for n, c in outputs.items()}
-    results = judged.select("t1", "t2", "id", total, "n_removed", "spans", *(c.alias(n) for n, c in none.items()))
-    rows = repeats.named(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))).select("doc_id", "t1", "t2")
-    out = rows.join(results, ["t1", "t2"])
-    if not kept_first:
-        return out.select("doc_id", total, "n_removed", "spans", *none)
-    later = ~F.col("doc_id").eqNullSafe(F.col("id")) & (F.col(total) >= window)
-    empty = judged.sparkSession.range(1).select(F.lit(b"").alias("kept")).select(*(c.alias(f"_{n}") for n, c in none.items()))
-    emptied = {n: F.lit(v) for n, v in zip(none, empty.first())}
-    return out.select(
-        "doc_id",
-        total,
-        F.when(later, F.col(total)).otherwise(F.col("n_removed")).alias("n_removed"),
-        F.when(later, F.array(F.lit(0).cast("long"), F.col(total))).otherwise(F.col("spans")).alias("spans"),
-        *(F.when(later, emptied[n]).otherwise(F.col(n)).alias(n) for n in none),
-    )
+    return repeats.attached(docs, judged, outputs, window, kept_first, "n_words")
