@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from balcao.llm.frames import checkpointed, partitions
 
+#: Characters of a text that choose its range; the sort and the comparison read the whole text.
+HEAD = 64
+
 NORMALISE = {
     "none": lambda text: text,
     "lower": F.lower,
@@ -17,9 +20,10 @@ NORMALISE = {
 def _sorted_runs(docs: DataFrame, carried: list[Column], normalise: str, keep: str) -> DataFrame:
     """Rows in content order with the place of each in its run of equal texts.
 
-    Sampled splitters range-partition the rows by normalised text and salt, Spark's external sort puts equal texts
-    side by side, and the window compares each text in full with its neighbour. The salt, taken from the id, lets a
-    group of copies with a third of all rows spread over many partitions; a run is one text and salt.
+    Sampled splitters range-partition the rows by the head of the normalised text and a salt, Spark's external sort
+    puts equal texts side by side, and the window compares each text in full with its neighbour. Only heads reach the
+    driver as samples, HEAD characters each. The salt, taken from the id, lets a group of copies with a third of all
+    rows, or of texts that begin alike, spread over many partitions; a run is one text and salt.
     """
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep is smallest or largest, not {keep}")
@@ -30,8 +34,9 @@ def _sorted_runs(docs: DataFrame, carried: list[Column], normalise: str, keep: s
         NORMALISE[normalise](F.coalesce(F.col("text"), F.lit(""))).alias("_text"),
         F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("_salt"),
         *carried,
-    ).repartitionByRange("_text", "_salt")
-    run = Window.partitionBy("_text", "_salt")
+    )
+    rows = rows.withColumn("_head", F.substring("_text", 1, HEAD)).repartitionByRange("_head", "_salt")
+    run = Window.partitionBy("_head", "_salt", "_text")
     return rows.withColumns(
         {
             "_place": F.row_number().over(run.orderBy(order)),
@@ -39,7 +44,7 @@ def _sorted_runs(docs: DataFrame, carried: list[Column], normalise: str, keep: s
             "_best": (F.min if keep == "smallest" else F.max)("_id").over(run),
             "_sha": F.sha2(F.col("_text").cast("binary"), 256),
         }
-    ).drop("_text")
+    ).drop("_text", "_head")
 
 
 def decisions(docs: DataFrame, normalise: str = "none", keep: str = "smallest") -> DataFrame:

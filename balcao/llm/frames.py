@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,3 +68,11 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     ends[cuts - 1] = inside[cuts]
     begin = np.flatnonzero(begins)
     return begin, np.flatnonzero(ends) + 1, np.searchsorted(begin, bounds)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Written as Parquet to a folder of its own below the shared checkpoint folder, and read again."""
+    ensure_checkpoint_dir(df.sparkSession, local_fallback=True)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balcao.llm import exact_dedup, packing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, superkmer_dedup, url_filter
+from balcao.llm import exact_dedup, mixing, packing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, superkmer_dedup, url_filter
 from balcao.session import tune
 
 
@@ -43,6 +43,14 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"), shingle=4, distance=4).drop("h")
 
 
+#: Share of words that each language is to have.
+TARGETS = {"en": 0.55, "fr": 0.17, "de": 0.16, "es": 0.12}
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), TARGETS)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return quality_classifier.scores(docs, quality_classifier.fit(docs, _table(spark, sf_dir, "labels")))
@@ -68,6 +76,7 @@ QUERIES = {
         op3_quality_rules,
         op4_substring_dedup,
         op5_simhash_near_dedup,
+        op6_mixing,
         op7_quality_classifier,
         op8_exact_dedup,
         op9_packing,
