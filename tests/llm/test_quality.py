@@ -1,0 +1,115 @@
+"""Operators 3 and 7."""
+
+from __future__ import annotations
+
+import random
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from balcao.llm import quality_classifier, quality_rules
+
+
+def longest_elsewhere(words):
+    n = len(words)
+    best = [0] * n
+    for i in range(n):
+        for j in range(n):
+            k = 0
+            while i != j and i + k < n and j + k < n and words[i + k] == words[j + k]:
+                k += 1
+            best[i] = max(best[i], k)
+    return best
+
+
+def test_suffix_order_against_brute_force():
+    rng = random.Random(2)
+    for _ in range(150):
+        words = [rng.randrange(rng.choice([1, 2, 5])) for _ in range(rng.randrange(40))]
+        found = quality_rules.repeats(np.array([*words, 99], dtype=np.int64))
+        assert found[:-1].tolist() == longest_elsewhere(words)
+
+
+def test_counts(docs, rows):
+    found = {(r["doc_id"], r["n_words"], r["word_chars"]): r for r in quality_rules.assess(docs).collect()}
+    assert quality_rules.assess(docs).count() == len(rows)
+    for doc, text, *_ in rows:
+        raw = (text or "").encode()
+        words = raw.split()
+        row = found[doc, len(words), sum(len(w.decode()) for w in words)]
+        assert row["n_symbols"] == sum(raw.count(bytes([c])) for c in b"#*$%&|<>")
+        lines = [x for x in raw.split(b"\n") if x.split()]
+        assert row["n_dup_lines"] == sum(x in lines[:i] for i, x in enumerate(lines))
+        if len(words) < 1000:
+            five = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+            twice = {i + k for i, w in enumerate(five) if five.count(w) > 1 for k in range(5)}
+            assert row["n_repeat_words"] == len(twice)
+            assert row["longest_repeat"] == max(longest_elsewhere(words), default=0)
+        assert row["base_failed"] == (len(words) < 10 or 100 * row["n_repeat_words"] > 20 * len(words))
+        assert not (row["kept"] and row["base_failed"])
+
+
+def test_a_long_repeat_is_rejected_and_clean_text_kept(spark):
+    rng = random.Random(3)
+    clean = " ".join(f"w{rng.randrange(10**6)}" for _ in range(600))
+    passage = " ".join(clean.split()[:60])
+    frame = spark.createDataFrame([(1, clean), (2, f"{clean} {passage}")], "doc_id long, text string")
+    assert [r["doc_id"] for r in quality_rules.filtered(frame).collect()] == [1]
+
+
+def test_filter_hands_on_all_columns(docs):
+    kept = quality_rules.filtered(docs)
+    assert kept.dtypes == docs.dtypes
+    assert kept.count() == quality_rules.assess(docs).filter("kept").count()
+
+
+def test_no_rows(empty):
+    assert quality_rules.assess(empty).count() == 0
+    assert quality_rules.filtered(empty).count() == 0
+
+
+def test_isotonic_is_the_least_squares_fit():
+    x, y = quality_classifier.isotonic(np.array([0.1, 0.2, 0.3, 0.4, 0.5]), np.array([0.0, 1.0, 0.0, 1.0, 1.0]))
+    assert (np.diff(y) > 0).all()
+    assert np.allclose(np.interp([0.1, 0.25, 0.45], x, y), [0.0, 0.5, 1.0])
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(600):
+        good = rng.random() < 0.7
+        words = [f"word{rng.randrange(3000)}" for _ in range(rng.randrange(20, 200))]
+        rows.append((i, " ".join(words if good else [w + rng.choice(["###", "$$$", "%%%"]) for w in words])))
+        labels.append((i, int(good)))
+    docs = spark.createDataFrame([*rows, (600, None), (601, ""), (None, "x y z"), (602, "y " * 50_000)], "doc_id long, text string")
+    marks = spark.createDataFrame([*labels, (None, 1), (601, None)], "doc_id long, quality int")
+    return docs, marks, dict(labels)
+
+
+def test_held_out_accuracy(judged):
+    docs, marks, labels = judged
+    rows = quality_classifier.scores(docs, quality_classifier.fit(docs, marks)).collect()
+    assert len(rows) == 604 and all(0 <= r["score"] <= 1 for r in rows)
+    assert all(r["held_out"] == (crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows if r["doc_id"] is not None)
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert np.mean([r["predicted"] == labels[r["doc_id"]] for r in held]) > 0.97
+
+
+def test_held_out_labels_change_nothing(judged, spark):
+    docs, marks, labels = judged
+    other = spark.createDataFrame(
+        [(i, 1 - q if crc32(str(i).encode()) % 5 == 0 else q) for i, q in labels.items()], "doc_id long, quality int"
+    )
+    a = quality_classifier.fit(docs, marks.filter("doc_id < 600"))
+    b = quality_classifier.fit(docs, other)
+    assert np.allclose(a.weights, b.weights)
+
+
+def test_without_labels(docs, empty, spark):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    model = quality_classifier.fit(docs, none)
+    assert {r["score"] for r in quality_classifier.scores(docs, model).collect()} == {0.495}
+    assert quality_classifier.scores(empty, model).count() == 0
