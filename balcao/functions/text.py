@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -37,7 +38,10 @@ def normalized(text: Column) -> Column:
 
 
 def normalized_term(term: str | None) -> str:
-    return strip_marks(term or "").lower().strip(BLANKS)
+    """The term as `normalized` would write it: letter by letter, so nothing else is taken apart."""
+    source, target = accent_table()
+    unmarked = re.sub(MARKS, "", term or "")
+    return unmarked.translate(str.maketrans(source, target)).lower().strip(BLANKS)
 
 
 def search_text(*parts: Column) -> Column:

@@ -61,8 +61,7 @@ def with_score(rows: DataFrame) -> DataFrame:
     """Own points plus those of the customer's other products of the same category."""
     category = Window.partitionBy("cliente_id", "ano_mes", "categoria_id")
     points = F.col("frequencia").cast("bigint")
-    # One shuffle by customer and month also serves the ranking.
-    return rows.repartition("cliente_id", "ano_mes").withColumn(
+    return rows.withColumn(
         "score",
         F.when(F.col("categoria_id").isNull(), points).otherwise(F.sum(points).over(category)),
     )

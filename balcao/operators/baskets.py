@@ -91,6 +91,15 @@ def undirected_pairs(items: DataFrame, header: DataFrame, block: int = BLOCK) ->
     return ordinary.unionByName(tiled.select("total", "x", "y"))
 
 
+def items_with_company(orders: DataFrame, details: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per order and product: month, and how many other products beside a companion the order has."""
+    items = basket_items(details, products).select("order_id", F.col("product_id").alias("produto_x"))
+    sizes = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("total"))
+    header = orders.select("order_id", month_key(F.col("order_date")).alias("ano_mes"))
+    others = F.greatest(F.col("total") - 2, F.lit(0))
+    return items.join(sizes, "order_id").join(header, "order_id").select("ano_mes", "produto_x", others.alias("outros"))
+
+
 def orders_per_product(items: DataFrame, header: DataFrame, block: int = BLOCK) -> DataFrame:
     """Orders each product is in, unfolded from the same arrays the pairs come from."""
     oversized = _oversized(items, block)

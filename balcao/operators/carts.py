@@ -14,7 +14,6 @@ TOP = 5
 # A cart of c products hides at most c - 1 partners of one of them, so the first
 # TOP + c - 1 partners are enough: PREFIX of them serve carts of PREFIX - TOP + 1.
 PREFIX = 32
-ORIGINS_PER_ROW = 1000
 # Float noise of a product over the origins must not decide an order.
 SCORE_DIGITS = 9
 
@@ -116,24 +115,14 @@ def ranked_suggestions(suggestions: DataFrame) -> DataFrame:
 
 
 def suggestion_origins(top: DataFrame, products: DataFrame) -> DataFrame:
-    """The products behind a suggestion as nested rows, best association first.
-
-    The list is cut into numbered pieces so that no row grows with the cart.
-    """
+    """The products behind a suggestion, one row each, best association first."""
     names = products.select(
         F.col("product_id").alias("produto_x"), F.col("product_name").alias("nome_x")
     )
     best_first = Window.partitionBy("cart_id", "produto_y").orderBy(F.desc("pct_associacao"), "produto_x")
-    origin = F.struct(
-        "ordem_origem", "produto_x", "nome_x", "pedidos_com_x", "pedidos_com_x_e_y",
-        "pct_associacao", "pedidos_com_outros", "pct_outros",
-    )
-    return (
-        top.join(names, "produto_x")
-        .withColumn("ordem_origem", F.row_number().over(best_first))
-        .withColumn("parte", F.floor((F.col("ordem_origem") - 1) / ORIGINS_PER_ROW).cast("int"))
-        .groupBy("cart_id", "produto_y", "parte")
-        .agg(F.sort_array(F.collect_list(origin)).alias("origens"))
+    return top.join(names, "produto_x").select(
+        "cart_id", "produto_y", F.row_number().over(best_first).alias("ordem_origem"), "produto_x", "nome_x",
+        "pedidos_com_x", "pedidos_com_x_e_y", "pct_associacao", "pedidos_com_outros", "pct_outros",
     )
 
 
@@ -147,40 +136,26 @@ def client_consumption(history: DataFrame) -> DataFrame:
     )
 
 
-def rank_consumed(history: DataFrame, products: DataFrame) -> DataFrame:
-    """Products a customer bought, most units first.
+def ranked_catalogue(catalogue: DataFrame, consumption: DataFrame, clients: DataFrame) -> DataFrame:
+    """The whole catalogue for each requested customer: bought products first, most units first, then by name.
 
-    The rest of the catalogue follows in the order of `alphabetical_catalogue`;
-    it is not repeated for every customer.
+    `clients` has cliente_id. Each of them has one row per catalogue product, by definition; their rows are numbered
+    in a sort of that size.
     """
-    names = products.select(F.col("product_id").alias("produto_id"), F.col("product_name").alias("produto_nome"))
+    wanted = clients.select("cliente_id").distinct()
+    places = wanted.agg(F.collect_set("cliente_id").alias("todos"))
+    shelf = catalogue.select("produto_id", "produto_nome").withColumn("cliente_id", F.explode(places.scalar()))
+    bought = consumption.join(wanted, "cliente_id", "left_semi")
     order = Window.partitionBy("cliente_id").orderBy(
         F.desc("quantidade_total"), locale_order(F.col("produto_nome")), "produto_id"
     )
-    return client_consumption(history).join(names, "produto_id").select(
-        "cliente_id", "produto_id", "produto_nome", "quantidade_total",
-        F.row_number().over(order).alias("posicao"),
+    return (
+        shelf.join(bought, ["cliente_id", "produto_id"], "left")
+        .withColumn("quantidade_total", F.coalesce("quantidade_total", F.lit(0)))
+        .withColumn("posicao", F.row_number().over(order))
     )
 
 
 def alphabetical_catalogue(catalogue: DataFrame) -> DataFrame:
     """Catalogue in Portuguese order, as shown when no customer is chosen."""
     return catalogue.orderBy(locale_order(F.col("produto_nome")), "produto_id")
-
-
-def catalogue_for_clients(catalogue: DataFrame, consumption: DataFrame, clients: list) -> DataFrame:
-    """The whole catalogue for a few named customers: bought products first, then by name."""
-    if len(clients) > 100:
-        raise ValueError("no maximo 100 clientes por consulta; use rank_consumed para todos")
-    kind = consumption.schema["cliente_id"].dataType
-    wanted = F.array(*[F.lit(c).cast(kind) for c in clients])
-    shelf = catalogue.select("produto_id", "produto_nome", F.explode(wanted).alias("cliente_id"))
-    bought = consumption.filter(F.col("cliente_id").isin(list(clients)))
-    order = Window.partitionBy("cliente_id").orderBy(
-        F.desc("quantidade_total"), locale_order(F.col("produto_nome")), "produto_id"
-    )
-    return (
-        shelf.join(bought, ["cliente_id", "produto_id"], "left")
-        .withColumn("quantidade_total", F.coalesce("quantidade_total", F.lit(0)))
-        .withColumn("posicao", F.row_number().over(order))
-    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from balcao.functions.numbers import ratio, rounded
-from balcao.sources.schemas import MONEY
+from balcao.sources.schemas import TOTAL
 
 def rows() -> Column:
     return F.count(F.lit(1))
@@ -16,7 +16,7 @@ def orders(df: DataFrame) -> DataFrame:
 
 
 def order_details(df: DataFrame) -> DataFrame:
-    return df.agg(rows().alias("itens"), F.sum("receita_item").cast(MONEY).alias("receita"))
+    return df.agg(rows().alias("itens"), F.sum("receita_item").cast(TOTAL).alias("receita"))
 
 
 def descontos(df: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def historico_cliente_produtos(df: DataFrame) -> DataFrame:
         F.count_distinct("cliente_id").alias("clientes"),
         F.count_distinct("produto_id").alias("produtos"),
         F.sum("unidades").alias("unidades"),
-        F.sum("receita").cast(MONEY).alias("receita"),
+        F.sum("receita").cast(TOTAL).alias("receita"),
     )
 
 
@@ -54,8 +54,8 @@ def historico_cliente_volume(df: DataFrame) -> DataFrame:
     return clients.agg(
         F.sum("n").alias("linhas"),
         rows().alias("clientes"),
-        F.sum("receita_sem_desconto").cast(MONEY).alias("receita_sem_desconto"),
-        F.sum("receita_total").cast(MONEY).alias("receita_total"),
+        F.sum("receita_sem_desconto").cast(TOTAL).alias("receita_sem_desconto"),
+        F.sum("receita_total").cast(TOTAL).alias("receita_total"),
         F.sum("quantidade_itens").alias("itens"),
         F.sum("quantidade_pedidos").alias("pedidos"),
         F.coalesce(discount, F.lit(0.0)).alias("desconto_medio"),
@@ -85,7 +85,7 @@ def produtos_associados(df: DataFrame) -> DataFrame:
 
 def ticket_global(df: DataFrame) -> DataFrame:
     return df.agg(
-        F.sum("receita_total").cast(MONEY).alias("receita"),
+        F.sum("receita_total").cast(TOTAL).alias("receita"),
         F.sum("qtd_pedidos").alias("pedidos"),
         rounded(ratio(F.sum("receita_total"), F.sum("qtd_pedidos")), 2).alias("ticket_medio_global"),
     )

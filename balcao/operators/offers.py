@@ -18,24 +18,20 @@ def offer_text(discount: Column) -> Column:
 
 
 def month_list(table: DataFrame) -> DataFrame:
-    """Months of a table with their label; the last one is preselected."""
+    """Months of a table in order with their label; the last one is preselected."""
     months = table.select("ano_mes").distinct()
     last = table.agg(F.max("ano_mes")).scalar()
     return months.select(
         "ano_mes",
         month_label(F.col("ano_mes")).alias("rotulo"),
         (F.col("ano_mes") == last).cast("int").alias("selecionado"),
-    )
+    ).orderBy("ano_mes")
 
 
-def monthly_offers(catalogue: DataFrame, discounts: DataFrame) -> DataFrame:
-    """Offer of every catalogue product in every month of the timeline."""
-    timeline = discounts.agg(F.sort_array(F.collect_set("ano_mes"))).scalar()
-    shelf = catalogue.select("produto_id", F.explode(timeline).alias("ano_mes"))
+def monthly_offers(discounts: DataFrame) -> DataFrame:
+    """Offer of every product in every month it was sold in; elsewhere it has none."""
     offer = F.col("maior_desconto")
-    return shelf.join(
-        discounts.select("ano_mes", "produto_id", "maior_desconto"), ["ano_mes", "produto_id"], "left"
-    ).select("ano_mes", "produto_id", offer.alias("oferta"), offer_text(offer).alias("oferta_texto"))
+    return discounts.select("ano_mes", "produto_id", offer.alias("oferta"), offer_text(offer).alias("oferta_texto"))
 
 
 def in_context(

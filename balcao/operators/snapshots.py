@@ -33,29 +33,29 @@ class Period:
     """The closed month before a processing day and its three bands of months."""
 
     processing_day: date
-    month: str
-    first_day: date
+    index: int
     last_day: date
     bands: dict[str, list[str]]
 
     @property
-    def index(self) -> int:
-        return self.first_day.year * 12 + self.first_day.month - 1
+    def month(self) -> str:
+        return M.key_at(self.index)
+
+    @property
+    def first_day(self) -> date:
+        return M.first_day_at(self.index)
 
     @property
     def history_start(self) -> date:
-        return M.plus_months(self.first_day, 1 - HISTORY)
+        return M.first_day_at(self.index - HISTORY + 1)
 
 
 def period_of(processing_day: date | str) -> Period:
     day = M.parse_day(processing_day) if isinstance(processing_day, str) else processing_day
     last = M.last_closed_day(day)
-    first = M.first_of_month(last)
-    bands = {
-        name: M.keys_between(M.plus_months(first, -oldest), M.plus_months(first, -newest))
-        for name, (newest, oldest) in BANDS.items()
-    }
-    return Period(day, M.key_of_day(first), first, last, bands)
+    index = M.index_of_day(last)
+    bands = {name: [M.key_at(index - back) for back in range(oldest, newest - 1, -1)] for name, (newest, oldest) in BANDS.items()}
+    return Period(day, index, last, bands)
 
 
 def coverage(orders: DataFrame) -> DataFrame:
@@ -90,16 +90,14 @@ def require_coverage(orders: DataFrame, period: Period) -> str:
     """Raise unless the orders cover the nine months; returns the first complete month."""
     row = coverage_report(orders).first()
     problems = []
-    if M.key_of_day(period.history_start) < row.primeiro_mes_completo:
+    needed = M.key_at(period.index - HISTORY + 1)
+    if needed < row.primeiro_mes_completo:
         problems.append(
-            f"cobertura insuficiente para a faixa 9m: precisa de {M.key_of_day(period.history_start)}, "
-            f"primeiro mes completo {row.primeiro_mes_completo}, "
-            f"primeira data de processamento permitida {row.primeira_data_permitida.isoformat()}"
+            f"historico de 9m incompleto: falta {needed}; meses completos desde {row.primeiro_mes_completo}, "
+            f"processamento possivel desde {row.primeira_data_permitida.isoformat()}"
         )
     if row.maior_data < period.last_day:
-        problems.append(
-            f"sem dados ate o fim de {period.month}: maior order_date {row.maior_data.isoformat()}"
-        )
+        problems.append(f"{period.month} ainda aberto: ultimo pedido em {row.maior_data.isoformat()}")
     if problems:
         raise ValueError("; ".join(problems))
     return row.primeiro_mes_completo
@@ -154,9 +152,9 @@ def months_in_reach(orders: DataFrame, details: DataFrame, span: Range) -> DataF
     most one row per month through the shuffle and is unfolded behind it; grouping
     by customer and snapshot needs no other. Money travels as whole cents.
     """
-    known = orders.filter(M.month_index(F.col("order_date")) <= span.last)
-    oldest = span.first - (HISTORY - 1)
-    recent = known.filter(M.month_index(F.col("order_date")) >= oldest)
+    # Bounds on the day itself, so that a run of one month skips the files of other months.
+    known = orders.filter(F.col("order_date") < M.first_day(span.last + 1))
+    recent = known.filter(F.col("order_date") >= M.first_day(span.first - (HISTORY - 1)))
     bought = monthly_volume(recent, details).withColumn("idx", M.index_of_key(F.col("ano_mes")))
     bought = bought.select(
         "cliente_id",
@@ -233,28 +231,38 @@ def process_month(
     return historico_cliente_metricas(orders, details, customers, single_month(period))
 
 
-def volume_series(orders: DataFrame, details: DataFrame, span: Range | None = None) -> DataFrame:
-    """Orders and revenue of the nine months ending at each snapshot month of each customer."""
-    reach = months_in_reach(orders, details, span or full_range(orders))
-
-    def at(column: str, back: int) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("atras") == back, F.col(column))), F.lit(0))
+def volume_series(orders: DataFrame, details: DataFrame, customers: DataFrame, span: Range | None = None) -> DataFrame:
+    """Orders and revenue of every month of each customer, months without orders included.
 
-    points = [
-        F.struct(
-            F.lit(back).alias("atras"),
-            at("quantidade_pedidos", back).alias("quantidade_pedidos"),
-            at("receita_total", back).alias("centavos"),
-        )
-        for back in range(HISTORY)
-    ]
-    series = reach.groupBy("cliente_id", "mes_idx").agg(F.array(*points).alias("pontos"))
-    return series.select("cliente_id", "mes_idx", F.inline("pontos")).select(
+    The series begins eight months before the customer's first snapshot, so the nine months of any snapshot are a
+    slice of it. The months of a customer, which the calendar bounds, travel as one list.
+    """
+    span = span or full_range(orders)
+    known = orders.filter(F.col("order_date") < M.first_day(span.last + 1))
+    recent = known.filter(F.col("order_date") >= M.first_day(span.first - (HISTORY - 1)))
+    bought = monthly_volume(recent, details).select(
+        "cliente_id",
+        F.struct(M.index_of_key(F.col("ano_mes")).alias("idx"), "quantidade_pedidos", "receita_total").alias("mes"),
+    )
+    entry = known.groupBy(F.col("customer_id").alias("cliente_id")).agg(
+        M.month_index(F.min("order_date")).alias("entrada")
+    )
+    series = (
+        bought.unionByName(entry, allowMissingColumns=True)
+        .groupBy("cliente_id")
+        .agg(F.min("entrada").alias("entrada"), F.collect_list("mes").alias("meses"))
+        .join(company_names(customers), "cliente_id", "left_semi")
+        .withColumn("de", F.greatest("entrada", span.first) - (HISTORY - 1))
+        .filter(F.col("de") + HISTORY - 1 <= span.last)
+    )
+    by_month = F.map_from_entries(F.transform("meses", lambda m: F.struct(m["idx"], m)))
+    dense = series.select("cliente_id", by_month.alias("meses"), F.explode(F.sequence("de", span.last)).alias("idx"))
+    month = F.try_element_at("meses", "idx")
+    return dense.select(
         "cliente_id",
-        M.key_of_index(F.col("mes_idx")).alias("ano_mes_fim"),
-        M.key_of_index(F.col("mes_idx") - F.col("atras")).alias("ano_mes"),
-        "quantidade_pedidos",
-        (F.col("centavos") / 100).cast(MONEY).alias("receita_total"),
+        M.key_of_index(F.col("idx")).alias("ano_mes"),
+        F.coalesce(month["quantidade_pedidos"], F.lit(0)).alias("quantidade_pedidos"),
+        F.coalesce(month["receita_total"], F.lit(0)).cast(MONEY).alias("receita_total"),
     )
 
 

@@ -43,7 +43,7 @@ class Metric:
     reason: str | None = None  # wording in the status sentence
 
 
-# Proportions are compared by difference, amounts by relative change.
+# The metrics. Proportions are compared by difference, amounts by relative change.
 METRICS = [
     Metric("frequencia_compra", "Frequência de compra", False, "a frequência de compra"),
     Metric("receita_media", "Média de receita", True, "a receita média"),
@@ -148,7 +148,7 @@ def sentence_of(status: Column, reasons: Column) -> Column:
     listed = F.when(F.size(names) <= 1, F.array_join(names, "")).otherwise(
         F.concat(F.array_join(F.slice(names, 1, F.size(names) - 1), ", "), F.lit(" e "), last)
     )
-    capital = F.concat(F.upper(F.substring(listed, 1, 1)), F.substring(listed, 2, 1000))
+    capital = F.concat(F.upper(F.substring(listed, 1, 1)), F.substr(listed, F.lit(2)))
     return (
         F.when(status == GOOD, SENTENCES[GOOD])
         .when(status == NORMAL, SENTENCES[NORMAL])

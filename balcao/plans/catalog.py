@@ -40,26 +40,15 @@ def _scores(df: DataFrame) -> DataFrame:
 
 
 def _parameter_sql(m: Model) -> DataFrame:
+    """Orders of each product in some months, counted on order and product, before any pair exists."""
     sql = """
-        SELECT produto_comprado_id AS produto_x, COUNT(DISTINCT id_compra) AS pedidos,
-               COUNT(DISTINCT CASE WHEN quantidade_outros_produtos_distintos > :outros THEN id_compra END)
-                   AS pedidos_com_outros
-        FROM {associados}
+        SELECT produto_x, COUNT(*) AS pedidos, COUNT_IF(outros > :outros) AS pedidos_com_outros
+        FROM {itens}
         WHERE ano_mes BETWEEN :mes_inicial AND :mes_final
-        GROUP BY produto_comprado_id
+        GROUP BY produto_x
     """
-    args = {"outros": 0, "mes_inicial": "0001-01", "mes_final": "9999-12"}
-    return query(m.spark, sql, args, associados=m.associados)
-
-
-def _origins(m: Model) -> DataFrame:
-    """Nested origins as text: one entry per product behind the suggestion."""
-    nested = carts.suggestion_origins(m.melhores, m.products)
-    entry = F.transform("origens", lambda o: F.concat_ws(":", o["produto_x"], o["pedidos_com_x_e_y"], o["pedidos_com_x"]))
-    return nested.select(
-        "cart_id", "produto_y", "parte", F.size("origens").cast("bigint").alias("quantidade"),
-        F.array_join(entry, ",").alias("origens"),
-    )
+    args = {"outros": 2, "mes_inicial": "1994-03", "mes_final": "1996-10"}
+    return query(m.spark, sql, args, itens=baskets.items_with_company(m.orders, m.details, m.products))
 
 
 def _snapshot_quality(m: Model) -> DataFrame:
@@ -84,7 +73,7 @@ def _change_rows(m: Model) -> DataFrame:
 
 
 def _month_names(m: Model) -> DataFrame:
-    return offers.month_list(m.metricas).select(
+    return offers.month_list(snapshots.snapshot_months(m.orders)).select(
         "ano_mes", "rotulo", "selecionado", month_name(F.col("ano_mes"), capital=True).alias("nome")
     )
 
@@ -152,13 +141,15 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "assoc_top5": lambda m: m.melhores,
     "cart_suggestions": lambda m: _scores(carts.combined_suggestions(m.melhores)),
     "cart_suggestions_ranked": lambda m: _scores(m.sugestoes),
-    "cart_suggestion_origins": _origins,
+    "cart_suggestion_origins": lambda m: carts.suggestion_origins(m.melhores, m.products),
     "sql_parametrizado": _parameter_sql,
     # consumption and offers
     "consumo_cliente": lambda m: m.consumo,
-    "produtos_rank_cliente": lambda m: carts.rank_consumed(gold.consumption(m.orders, m.details), m.products),
+    "produtos_rank_cliente": lambda m: carts.ranked_catalogue(
+        m.vitrine, m.consumo, search.search_clients(m.clientes, "nàtion_1")
+    ),
     "catalogo_alfabetico": _alphabetical,
-    "ofertas_mes": lambda m: offers.monthly_offers(m.vitrine, m.descontos),
+    "ofertas_mes": lambda m: offers.monthly_offers(m.descontos),
     "meses_oferta": lambda m: offers.month_list(m.descontos),
     "sugestoes_contexto": _suggestions_in_context,
     "carrinho_contexto": _cart_lines,
@@ -175,7 +166,7 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "filtro_clientes": lambda m: status.filter_clients(
         m.com_status, client="BUÍLD", company="customer#", status="ruim"
     ).withColumn("motivos", F.array_join("motivos", ",")),
-    "volume_9m": lambda m: snapshots.volume_series(m.orders, m.details, m.span).withColumn(
+    "volume_9m": lambda m: snapshots.volume_series(m.orders, m.details, m.named_customers, m.span).withColumn(
         "rotulo", month_label(F.col("ano_mes"))
     ),
     "papel_metrica": lambda m: status.metric_roles(m.com_status),

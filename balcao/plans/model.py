@@ -145,13 +145,17 @@ class Model:
 
     @cached_property
     def consumo(self) -> DataFrame:
-        """Straight from the items: one shuffle less than through the monthly history."""
+        """Straight from the items; customers without a register entry have none."""
         items = gold.dated_items(self.orders, self.details).select(
             F.col("customer_id").alias("cliente_id"),
             F.col("product_id").alias("produto_id"),
             F.col("quantity").alias("quantidade_consumida"),
         )
-        return carts.client_consumption(items)
+        return self.registered(carts.client_consumption(items))
+
+    def registered(self, rows: DataFrame) -> DataFrame:
+        """Rows of customers in the register, like the tables that carry their name."""
+        return rows.join(gold.company_names(self.named_customers), "cliente_id", "left_semi")
 
     def in_context(self, rows: DataFrame) -> DataFrame:
         return offers.in_context(rows, self.contexto, self.vitrine, self.consumo, self.descontos)
@@ -163,9 +167,8 @@ class Model:
         purchases = gold.dated_items(self.orders, self.details).select(
             F.col("customer_id").alias("cliente_id"), F.col("product_id").alias("produto_id"), "ano_mes"
         )
-        return actions.recurrence(
-            purchases, actions.product_calendar(self.products, self.descontos), self.span
-        )
+        monthly = self.registered(purchases.distinct())
+        return actions.recurrence(monthly, actions.product_calendar(self.products, self.descontos), self.span)
 
     @cached_property
     def acoes_pontuadas(self) -> DataFrame:

@@ -7,8 +7,18 @@ from __future__ import annotations
 
 import re
 
-from balcao.operators import status as S
-
+# Fixed values, written from the definitions and not taken from the operators: tolerance, metrics as
+# (key, compared by relative change), and the texts.
+TOLERANCE = 0.200000001
+METRICS = {
+    "frequencia_compra": False,
+    "receita_media": True,
+    "desconto_medio": False,
+    "quantidade_produtos_distintos_media": True,
+    "quantidade_itens_media": True,
+}
+DECIDING = ["frequencia_compra", "receita_media", "quantidade_itens_media"]
+NO_BASE = "sem valor no período mais antigo (passou a existir agora)"
 BANDS = {"3m": (0, 2), "6m": (3, 5), "9m": (6, 8)}
 MEASURES = {
     "receita": "receita_total", "receita_sem_desconto": "receita_sem_desconto",
@@ -83,13 +93,13 @@ def _change(now: str, base: str, relative: bool) -> str:
 
 def _trend_rows() -> str:
     parts = []
-    for m in S.METRICS:
-        v3, v6, v9 = (f"{m.key}_{b}" for b in BANDS)
+    for metric, relative in METRICS.items():
+        v3, v6, v9 = (f"{metric}_{b}" for b in BANDS)
         parts.append(
-            f"SELECT ano_mes, cliente_id, '{m.key}' AS metrica, "
-            f"'{'relativa' if m.relative else 'diferenca'}' AS modo, {v3} AS valor_3m, {v6} AS valor_6m, "
-            f"{v9} AS valor_9m, {_change(v3, v6, m.relative)} AS comparacao_3x6, "
-            f"{_change(v3, v9, m.relative)} AS comparacao_3x9 FROM metricas"
+            f"SELECT ano_mes, cliente_id, '{metric}' AS metrica, "
+            f"'{'relativa' if relative else 'diferenca'}' AS modo, {v3} AS valor_3m, {v6} AS valor_6m, "
+            f"{v9} AS valor_9m, {_change(v3, v6, relative)} AS comparacao_3x6, "
+            f"{_change(v3, v9, relative)} AS comparacao_3x9 FROM metricas"
         )
     return " UNION ALL ".join(parts)
 
@@ -100,14 +110,14 @@ def _state(metric: str) -> str:
 
 def _text(value: str) -> str:
     return (
-        f"CASE WHEN {value} = 'Infinity'::DOUBLE THEN '{S.NO_BASE}' ELSE "
+        f"CASE WHEN {value} = 'Infinity'::DOUBLE THEN '{NO_BASE}' ELSE "
         f"(CASE WHEN {value} > 0 THEN '+' WHEN {value} < 0 THEN '-' ELSE '' END) || "
         f"{_ptbr(f'abs({value}) * 100')} || (CASE WHEN modo = 'relativa' THEN '%' ELSE ' p.p.' END) END"
     )
 
 
-STATES = ", ".join(f"estado_{m.key}" for m in S.METRICS)
-FELL = [f"CAST(estado_{m.key} = 'diminuiu' AS INTEGER)" for m in S.DECIDING]
+STATES = ", ".join(f"estado_{m}" for m in METRICS)
+FELL = [f"CAST(estado_{m} = 'diminuiu' AS INTEGER)" for m in DECIDING]
 ORDER_PARTNER = "pct_associacao DESC, pct_outros ASC, pedidos_com_x_e_y DESC, nome_y, produto_y"
 PARTNER = (
     "produto_x, produto_y, nome_y, pedidos_com_x, pedidos_com_x_e_y, pedidos_com_outros, "
@@ -219,12 +229,12 @@ CTES = {
     "variacoes": _trend_rows(),
     "tendencias": f"""
         SELECT *, (comparacao_3x6 + comparacao_3x9) / 2 AS indice,
-               CASE WHEN (comparacao_3x6 + comparacao_3x9) / 2 > {S.TOLERANCE!r}::DOUBLE THEN 'aumentou'
-                    WHEN (comparacao_3x6 + comparacao_3x9) / 2 < -{S.TOLERANCE!r}::DOUBLE THEN 'diminuiu'
+               CASE WHEN (comparacao_3x6 + comparacao_3x9) / 2 > {TOLERANCE!r}::DOUBLE THEN 'aumentou'
+                    WHEN (comparacao_3x6 + comparacao_3x9) / 2 < -{TOLERANCE!r}::DOUBLE THEN 'diminuiu'
                     ELSE 'normal' END AS estado
         FROM variacoes""",
     "estados": f"""
-        SELECT ano_mes, cliente_id, {', '.join(_state(m.key) for m in S.METRICS)}
+        SELECT ano_mes, cliente_id, {', '.join(_state(m) for m in METRICS)}
         FROM tendencias GROUP BY ano_mes, cliente_id""",
     "status_": f"""
         SELECT *, CASE WHEN {' + '.join(FELL)} >= 2 THEN 'ruim'
@@ -597,28 +607,31 @@ QUERIES = {
     "cart_suggestions": f"SELECT {SUGGESTION} FROM sugestoes",
     "cart_suggestions_ranked": f"SELECT {SUGGESTION}, posicao FROM sugestoes_ordem",
     "cart_suggestion_origins": """
-        SELECT cart_id, produto_y, 0 AS parte, count(*) AS quantidade,
-               string_agg(produto_x || ':' || pedidos_com_x_e_y || ':' || pedidos_com_x, ','
-                          ORDER BY pct_associacao DESC, produto_x) AS origens
-        FROM top5 GROUP BY cart_id, produto_y""",
+        SELECT cart_id, produto_y, produto_x, p.produto_nome AS nome_x, pedidos_com_x, pedidos_com_x_e_y, pct_associacao,
+               pedidos_com_outros, pct_outros,
+               CAST(row_number() OVER (PARTITION BY cart_id, produto_y ORDER BY pct_associacao DESC, produto_x)
+                    AS INTEGER) AS ordem_origem
+        FROM top5 JOIN produtos p ON p.produto_id = produto_x""",
     "sql_parametrizado": """
         SELECT produto_comprado_id AS produto_x, count(DISTINCT id_compra) AS pedidos,
-               count(DISTINCT CASE WHEN quantidade_outros_produtos_distintos > 0 THEN id_compra END)
+               count(DISTINCT CASE WHEN quantidade_outros_produtos_distintos > 2 THEN id_compra END)
                    AS pedidos_com_outros
-        FROM associados GROUP BY 1""",
+        FROM associados WHERE ano_mes BETWEEN '1994-03' AND '1996-10' GROUP BY 1""",
     # consumption and offers
     "consumo_cliente": "SELECT * FROM consumo",
     "produtos_rank_cliente": """
-        SELECT cliente_id, produto_id, p.produto_nome, quantidade_total,
-               CAST(row_number() OVER (PARTITION BY cliente_id ORDER BY quantidade_total DESC, p.produto_nome,
-                                       produto_id) AS INTEGER) AS posicao
-        FROM consumo JOIN produtos p USING (produto_id)""",
+        SELECT k.cliente_id, p.produto_id, p.produto_nome, coalesce(c.quantidade_total, 0) AS quantidade_total,
+               CAST(row_number() OVER (PARTITION BY k.cliente_id ORDER BY coalesce(c.quantidade_total, 0) DESC,
+                                       p.produto_nome, p.produto_id) AS INTEGER) AS posicao
+        FROM (SELECT cliente_id FROM clientes
+              WHERE contains(strip_accents(lower(cliente_id || ' ' || nome_empresa || ' ' || coalesce(nome_contato, '')
+                             || ' ' || coalesce(cidade, '') || ' ' || coalesce(pais, ''))), 'nation_1')
+              ORDER BY nome_empresa, cliente_id LIMIT 20) k JOIN produtos p ON TRUE
+             LEFT JOIN consumo c ON c.cliente_id = k.cliente_id AND c.produto_id = p.produto_id""",
     "catalogo_alfabetico": "SELECT produto_id, produto_nome, categoria_nome, preco_unitario FROM produtos",
     "ofertas_mes": f"""
-        SELECT m.ano_mes, p.produto_id, CAST(d.maior_desconto AS DOUBLE) AS oferta,
-               {_offer('d.maior_desconto')} AS oferta_texto
-        FROM (SELECT DISTINCT ano_mes FROM descontos) m JOIN produtos p ON TRUE
-             LEFT JOIN descontos d ON d.ano_mes = m.ano_mes AND d.produto_id = p.produto_id""",
+        SELECT ano_mes, produto_id, CAST(maior_desconto AS DOUBLE) AS oferta, {_offer('maior_desconto')} AS oferta_texto
+        FROM descontos""",
     "meses_oferta": """
         SELECT DISTINCT ano_mes, substr(ano_mes, 6, 2) || '/' || substr(ano_mes, 3, 2) AS rotulo,
                CAST(ano_mes = (SELECT max(ano_mes) FROM descontos) AS INTEGER) AS selecionado
@@ -660,25 +673,25 @@ QUERIES = {
         WHERE (contains(lower(nome_cliente), 'build') OR contains(lower(cliente_id), 'build'))
           AND contains(lower(nome_empresa), 'customer#') AND status = 'ruim'""",
     "volume_9m": f"""
-        SELECT e.cliente_id, {_key('e.s')} AS ano_mes_fim, {_key('e.s - t.k')} AS ano_mes,
-               coalesce(v.quantidade_pedidos, 0) AS quantidade_pedidos,
+        SELECT e.cliente_id, {_key('e.m')} AS ano_mes, coalesce(v.quantidade_pedidos, 0) AS quantidade_pedidos,
                coalesce(CAST(v.receita_total AS DOUBLE), 0) AS receita_total,
-               substr({_key('e.s - t.k')}, 6, 2) || '/' || substr({_key('e.s - t.k')}, 3, 2) AS rotulo
-        FROM elegiveis e JOIN (SELECT unnest(generate_series(0, 8)) AS k) t ON TRUE
-             LEFT JOIN volume v ON v.cliente_id = e.cliente_id AND v.idx = e.s - t.k""",
+               substr({_key('e.m')}, 6, 2) || '/' || substr({_key('e.m')}, 3, 2) AS rotulo
+        FROM (SELECT DISTINCT cliente_id, s - k AS m
+              FROM elegiveis JOIN (SELECT unnest(generate_series(0, 8)) AS k) t ON TRUE) e
+             LEFT JOIN volume v ON v.cliente_id = e.cliente_id AND v.idx = e.m""",
     "papel_metrica": f"""
         SELECT t.ano_mes, t.cliente_id, s.status, t.metrica,
                CASE WHEN t.metrica IN ('frequencia_compra', 'receita_media') THEN
                         CASE WHEN list_contains(string_split(s.motivos, ','), t.metrica)
-                             THEN '{S.ROLE_MAIN_IN}' ELSE '{S.ROLE_MAIN_OUT}' END
+                             THEN 'Principal · participou do Status' ELSE 'Principal · não alterou o Status' END
                     WHEN t.metrica = 'quantidade_itens_media' THEN
                         CASE WHEN s.status = 'ruim' AND t.estado = 'diminuiu'
-                             THEN '{S.ROLE_WORSE}' ELSE '{S.ROLE_OPERATIONAL}' END
-                    ELSE '{S.ROLE_CONTEXT}' END AS papel
+                             THEN 'Agravante · reforçou o Status Ruim' ELSE 'Contexto operacional' END
+                    ELSE 'Contexto · não define o Status' END AS papel
         FROM tendencias t JOIN status_motivos s USING (ano_mes, cliente_id)""",
     "frase_status": f"""
         SELECT ano_mes, cliente_id, status,
-               CASE status WHEN 'bom' THEN '{S.SENTENCES['bom']}' WHEN 'normal' THEN '{S.SENTENCES['normal']}'
+               CASE status WHEN 'bom' THEN 'Frequência de compra e receita média aumentaram.' WHEN 'normal' THEN 'Frequência e receita permanecem dentro do comportamento normal.'
                     ELSE (CASE motivos
                         WHEN 'frequencia_compra' THEN 'A frequência de compra'
                         WHEN 'receita_media' THEN 'A receita média'
@@ -687,7 +700,7 @@ QUERIES = {
                             THEN 'A frequência de compra e a quantidade comprada'
                         WHEN 'receita_media,quantidade_itens_media' THEN 'A receita média e a quantidade comprada'
                         ELSE 'A frequência de compra, a receita média e a quantidade comprada' END)
-                      || CASE status WHEN 'atencao' THEN '{S.ENDINGS['atencao']}' ELSE '{S.ENDINGS['ruim']}' END
+                      || CASE status WHEN 'atencao' THEN ' diminuiu; acompanhe a evolução deste cliente.' ELSE ' diminuíram, atendendo ao critério de risco.' END
                END AS frase
         FROM status_motivos""",
     "variacao_texto": f"""
@@ -696,9 +709,9 @@ QUERIES = {
         FROM tendencias""",
     "interpretacao": f"""
         SELECT ano_mes, cliente_id, metrica, estado,
-               CASE estado WHEN 'normal' THEN '{S.MEANING['normal']}'
-                    WHEN 'aumentou' THEN '{S.MEANING['aumentou']}'
-                    ELSE '{S.MEANING['diminuiu']}' END
+               CASE estado WHEN 'normal' THEN 'A variação média (3m contra 6m e 9m) permaneceu dentro da tolerância de 20%.'
+                    WHEN 'aumentou' THEN 'A variação média (3m contra 6m e 9m) superou +20% em '
+                    ELSE 'A variação média (3m contra 6m e 9m) ficou abaixo de −20% em ' END
                || CASE WHEN estado = 'normal' THEN '' WHEN modo = 'diferenca' THEN 'pontos percentuais.'
                        ELSE 'percentual.' END AS interpretacao
         FROM tendencias""",

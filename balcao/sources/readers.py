@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from balcao.sources.schemas import raw_schema
 
@@ -22,12 +23,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_months(spark: SparkSession, path: str, months: list[str] | None = None) -> DataFrame:
+def read_months(
+    spark: SparkSession, path: str, months: list[str] | None = None, schema: str | StructType | None = None
+) -> DataFrame:
     """A table partitioned by `ano_mes`, or older single-month files matching a glob.
 
-    A month list prunes partitions, it does not open the other files.
+    With a schema no file is opened to learn it, and a month list then leaves the other months' files closed; without
+    one the columns of all files are merged, which reads every footer.
     """
-    df = spark.read.option("mergeSchema", True).parquet(path)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
+    df = reader.parquet(path)
     return df if months is None else df.filter(df.ano_mes.isin(months))
 
 

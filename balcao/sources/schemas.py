@@ -53,6 +53,8 @@ SILVER = {
 }
 
 MONEY = "decimal(14,2)"
+# Sums over a whole table or month.
+TOTAL = "decimal(38,2)"
 REVENUE = "decimal(12,2)"
 
 KEYS = {
@@ -70,6 +72,36 @@ KEYS = {
     "historico_cliente_metricas": ["ano_mes", "cliente_id"],
 }
 
+_SNAPSHOT = [
+    "frequencia_compra", "receita_media", "receita_sem_desconto_media", "desconto_medio", "quantidade_pedidos_media",
+    "quantidade_produtos_distintos_media", "quantidade_itens_media",
+]
+
+# Declared once: monthly tables are read with it, so that no file is opened to learn its columns.
+GOLD = {
+    "clientes": "cliente_id string, nome_empresa string, nome_contato string, cargo_contato string, endereco string, "
+    "cidade string, regiao string, cep string, pais string, telefone string, fax string",
+    "produtos": "produto_id bigint, produto_nome string, categoria_id int, categoria_nome string, "
+    "fornecedor_id bigint, fornecedor_nome string, quantidade_por_unidade string, preco_unitario decimal(10,2), "
+    "unidades_em_estoque int, unidades_em_pedido int, nivel_reposicao int, descontinuado int",
+    "descontos": "ano_mes string, produto_id bigint, produto_nome string, categoria_id int, "
+    "preco_unitario decimal(10,2), maior_desconto decimal(4,2)",
+    "ticket_medio": f"ano_mes string, qtd_pedidos bigint, receita_total {TOTAL}, ticket_medio {REVENUE}, "
+    "unidades_por_pedido double, itens_por_pedido double, preco_medio double, desconto_efetivo double, "
+    "frete_por_pedido double",
+    "historico_cliente_produtos": "ano_mes string, cliente_id string, nome_empresa string, produto_id bigint, "
+    f"produto_nome string, categoria_id int, quantidade_consumida bigint, receita_total {MONEY}",
+    "historico_cliente_volume": f"ano_mes string, cliente_id string, nome_empresa string, receita_sem_desconto {MONEY}, "
+    f"receita_total {MONEY}, desconto_medio double, quantidade_pedidos bigint, "
+    "quantidade_produtos_distintos bigint, quantidade_itens bigint",
+    "produtos_associados": "ano_mes string, data_compra date, id_compra bigint, id_cliente string, "
+    "produto_comprado_id bigint, produto_comprado_nome string, quantidade_comprada int, "
+    "produto_acompanhante_id bigint, produto_acompanhante_nome string, quantidade_acompanhante int, "
+    "total_produtos_distintos bigint, quantidade_outros_produtos_distintos bigint",
+    "historico_cliente_metricas": "ano_mes string, cliente_id string, nome_empresa string, "
+    + ", ".join(f"{metric}_{band} double" for band in ("3m", "6m", "9m") for metric in _SNAPSHOT),
+}
+
 
 def raw_schema(table: str) -> StructType:
     """All-text schema: codes keep their leading zeros, nothing is guessed."""

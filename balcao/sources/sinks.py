@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from balcao.operators.quality import require
 from balcao.session import ensure_checkpoint_dir
-from balcao.sources.schemas import KEYS
+from balcao.sources import readers
+from balcao.sources.schemas import GOLD, KEYS
 
 
 def _ordered(df: DataFrame, table: str | None) -> DataFrame:
@@ -22,11 +23,11 @@ def replace_table(df: DataFrame, path: str, table: str | None = None) -> None:
     _ordered(df, table).write.mode("overwrite").parquet(path)
 
 
-def replace_months(df: DataFrame, path: str, table: str | None = None) -> None:
+def replace_months(df: DataFrame, path: str, table: str | None = None, months: list[str] | None = None) -> None:
     """Replace only the months present in `df`; other months keep their files.
 
-    Rows are brought together by month and spread over a salt of the key, so a
-    month is neither one huge task nor thousands of small files.
+    `months` names the months that are being replaced: one of them without rows becomes empty. Rows are brought
+    together by month, and a large month is split by the rebalance.
     """
     spread = df.hint("rebalance", "ano_mes")
     (
@@ -36,6 +37,10 @@ def replace_months(df: DataFrame, path: str, table: str | None = None) -> None:
         .partitionBy("ano_mes")
         .parquet(path)
     )
+    if months:
+        found = {r["ano_mes"] for r in df.filter(df.ano_mes.isin(months)).select("ano_mes").distinct().collect()}
+        for month in set(months) - found:
+            df.filter("false").drop("ano_mes").write.mode("overwrite").parquet(f"{path}/ano_mes={month}")
 
 
 def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> None:
@@ -105,5 +110,6 @@ def publish(
     """Replace a consumer table by the stored one, all months together."""
     if target not in TARGETS:
         raise ValueError(f"destino '{target}' desconhecido; disponiveis: {sorted(TARGETS)}")
-    df = spark.read.option("mergeSchema", True).parquet(find_layout(spark, root, table))
+    layout = find_layout(spark, root, table)
+    df = readers.read_months(spark, layout, schema=GOLD.get(table))
     TARGETS[target](df.write.mode("overwrite"), name or table, options)

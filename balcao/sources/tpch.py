@@ -43,10 +43,14 @@ class Raw:
         return orders.join(shipped, "order_id", "left")
 
     def order_details(self) -> DataFrame:
-        """Summed as whole cents; decimals are made once per item, after the grouping."""
+        """Summed as whole cents; decimals are made once per item, after the grouping.
+
+        Lines are brought together by order, which also serves the joins with the orders.
+        """
         units = F.sum("l_quantity")
         return (
             self.table("lineitem")
+            .repartition("l_orderkey")
             .groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"))
             .agg(
                 rounded(F.sum(cents(F.col("l_extendedprice"))) / 100 / units, 2).alias("unit_price"),

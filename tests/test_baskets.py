@@ -114,16 +114,15 @@ def test_merged_score(spark):
     assert rows[2].media_outros_produtos == pytest.approx(50 * 2 / 6)
 
 
-def test_origins_are_cut_into_pieces(spark, monkeypatch):
-    monkeypatch.setattr(carts, "ORIGINS_PER_ROW", 2)
+def test_every_origin_is_a_row(spark):
     top = spark.createDataFrame(
         [(1, x, 9, "y", 10, x, 0, 10.0 * x, 0.0) for x in (1, 2, 3)],
         "cart_id long, produto_x long, produto_y long, nome_y string, pedidos_com_x long, "
         "pedidos_com_x_e_y long, pedidos_com_outros long, pct_associacao double, pct_outros double",
     )
     products = spark.createDataFrame([(i, f"p{i}") for i in (1, 2, 3)], "product_id long, product_name string")
-    pieces = carts.suggestion_origins(top, products).orderBy("parte").collect()
-    assert [[o.produto_x for o in p.origens] for p in pieces] == [[3, 2], [1]]
+    rows = carts.suggestion_origins(top, products).orderBy("ordem_origem").collect()
+    assert [(r.ordem_origem, r.produto_x, r.nome_x) for r in rows] == [(1, 3, "p3"), (2, 2, "p2"), (3, 1, "p1")]
 
 
 def test_evidence_bands(spark):
@@ -140,8 +139,10 @@ def test_catalogue_of_a_client(spark):
         [(1, "Zed"), (2, "Ção"), (3, "azul"), (4, "cao")], "produto_id long, produto_nome string"
     )
     bought = spark.createDataFrame([("A", 1, 5), ("B", 3, 9)], "cliente_id string, produto_id long, quantidade_total long")
-    rows = carts.catalogue_for_clients(catalogue, bought, ["A"]).orderBy("posicao").collect()
+    wanted = spark.createDataFrame([("A",)], "cliente_id string")
+    rows = carts.ranked_catalogue(catalogue, bought, wanted).orderBy("posicao").collect()
     assert [(r.produto_nome, r.quantidade_total) for r in rows] == [("Zed", 5), ("azul", 0), ("cao", 0), ("Ção", 0)]
     assert [r.produto_nome for r in carts.alphabetical_catalogue(catalogue).collect()] == ["azul", "cao", "Ção", "Zed"]
-    with pytest.raises(ValueError):
-        carts.catalogue_for_clients(catalogue, bought, list(range(101)))
+    many = spark.range(300).selectExpr("cast(id AS string) AS cliente_id")
+    assert carts.ranked_catalogue(catalogue, bought, many).count() == 1200
+    assert carts.ranked_catalogue(catalogue, bought, many.limit(0)).count() == 0

@@ -34,6 +34,23 @@ def test_replacing_a_month_leaves_the_others(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(ano_mes" in pruned._jdf.queryExecution().toString() and pruned.count() == 2
 
 
+def test_a_replaced_month_may_become_empty(spark, tmp_path):
+    path = str(tmp_path / "m")
+    sinks.replace_months(_months(spark, "1997-04", "1997-05"), path)
+    sinks.replace_months(_months(spark, "1997-04").limit(0), path, months=["1997-04"])
+    schema = "cliente_id string, n int, ano_mes string"
+    assert {r.ano_mes for r in readers.read_months(spark, path, schema=schema).collect()} == {"1997-05"}
+
+
+def test_a_declared_schema_leaves_other_months_closed(spark, tmp_path):
+    path = tmp_path / "m"
+    sinks.replace_months(_months(spark, "1997-04", "1997-05"), str(path))
+    for file in (path / "ano_mes=1997-05").glob("*.parquet"):
+        file.write_bytes(b"broken")
+    schema = "cliente_id string, n int, ano_mes string"
+    assert readers.read_months(spark, str(path), ["1997-04"], schema).count() == 2
+
+
 def test_replace_table(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.replace_table(_months(spark, "1997-04"), path, "historico_cliente_volume")

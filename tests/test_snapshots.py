@@ -35,7 +35,7 @@ def test_coverage(spark):
     with pytest.raises(ValueError, match="1997-05-01"):
         S.require_coverage(orders, S.period_of("1997-04-01"))
     assert S.require_coverage(orders, S.period_of("1997-05-01")) == "1996-08"
-    with pytest.raises(ValueError, match="sem dados"):
+    with pytest.raises(ValueError, match="ainda aberto"):
         S.require_coverage(_orders(spark, "1996-07-04", "1997-04-29"), S.period_of("1997-05-01"))
 
 
@@ -84,13 +84,13 @@ def test_one_month_equals_its_rows_among_all(sales, day):
     assert {r.cliente_id: r for r in single} == every
 
 
-def test_series_has_nine_points(sales):
-    orders, details, *_ = sales
-    rows = [r for r in S.volume_series(orders, details).collect() if r.ano_mes_fim == "1997-04"]
+def test_series_holds_months_without_orders(sales):
+    orders, details, customers, _ = sales
+    rows = S.volume_series(orders, details, customers).collect()
     a = {r.ano_mes: (r.quantidade_pedidos, float(r.receita_total)) for r in rows if r.cliente_id == "A"}
-    assert sorted(a) == S.M.keys_between(date(1996, 8, 1), date(1997, 4, 1))
+    assert {S.M.key_at(i) for i in range(1996 * 12 + 7, 1997 * 12 + 4)} <= set(a)
     assert a["1997-02"] == (2, 300.0) and a["1997-03"] == (0, 0.0) and a["1996-08"] == (1, 50.0)
-    assert len([r for r in rows if r.cliente_id == "B"]) == 9
+    assert len([r for r in rows if r.cliente_id == "B"]) >= 9
 
 
 def test_expected_rows_follow_from_orders(sales):
