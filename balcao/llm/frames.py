@@ -70,6 +70,17 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begin, np.flatnonzero(ends) + 1, np.searchsorted(begin, bounds)
 
 
+def joined_words(data: np.ndarray, bounds: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The words with one blank behind each, where each begins and ends there, and the first word of each text."""
+    begin, end, first = words(data, bounds)
+    blank = SPACES[data]
+    keep = ~blank
+    keep[1:] |= blank[1:] & ~blank[:-1]
+    place = np.cumsum(keep) - 1
+    text = np.where(blank, 32, data).astype(np.uint8)[keep].tobytes()
+    return (text, place[begin], place[end - 1] + 1, first) if len(begin) else (b"", begin, end, first)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Written as Parquet to a folder of its own below the shared checkpoint folder, and read again."""
     ensure_checkpoint_dir(df.sparkSession, local_fallback=True)

@@ -97,13 +97,14 @@ def runs(grams: np.ndarray, first: np.ndarray, length: int, lead: int) -> Runs:
 
 @dataclass(frozen=True)
 class Kind:
-    """What a symbol is. `read` gives grams, running sums, first symbols and a function that packs a span."""
+    """What a symbol is. `read` gives grams, running sums, first symbols and a function that packs spans."""
 
     length: int
     lead: int
     classes: tuple[int, int]  # widths of the narrower classes
+    crowds: int  # times CROWD, occurrences up to which the wider of them holds
     block: int  # windows that a task judges at one time
-    read: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, Callable[[int, int], bytes]]]
+    read: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], list[bytes]]]]
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -116,7 +117,8 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 def named(rows: DataFrame) -> DataFrame:
     sha = F.sha2(F.col("text").cast("binary"), 256)
-    half = lambda at: F.conv(F.substring(sha, at, 16), 16, -10).cast("long")
+    # Never null, so that no join adds a filter below the shared shuffle of the texts.
+    half = lambda at: F.coalesce(F.conv(F.substring(sha, at, 16), 16, -10).cast("long"), F.lit(0))
     return rows.withColumns({"t1": half(1), "t2": half(17)})
 
 
@@ -136,9 +138,56 @@ def _hits(texts: DataFrame, kind: Kind) -> DataFrame:
             columns = [pa.array(x) for x in (_common_key(kind, sums, found), t1, t2, at)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "t1", "t2", "at"])
 
-    rows = texts.select("t1", "t2", "text").mapInArrow(run, "key long, t1 long, t2 long, at long")
+    # All columns are read, so that every reader of the distinct texts shares one shuffle of them.
+    rows = texts.mapInArrow(run, "key long, t1 long, t2 long, at long")
     often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return rows.join(often, "key").groupBy("t1", "t2").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
+    # The join is on another form of the key, so both sides are shuffled for it and a frequent key can be split.
+    often = often.select(F.bitwise_not("key").alias("turned"), "n")
+    return rows.withColumn("turned", F.bitwise_not("key")).join(often, "turned").groupBy("t1", "t2").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
+
+
+@dataclass(frozen=True)
+class Parts:
+    """Packed strings with their text, bucket, greatest and least distance to the minimiser, and its place."""
+
+    text: np.ndarray
+    key: np.ndarray
+    far: np.ndarray
+    low: np.ndarray
+    at: np.ndarray
+    strings: list[bytes]
+
+
+def _classed(hits: pa.ListArray, kind: Kind, data: np.ndarray, bounds: np.ndarray) -> Parts:
+    """The runs whose minimiser was hit, cut into narrower classes where it was hit too often."""
+    grams, sums, first, packed = kind.read(data, bounds)
+    found = runs(grams, first, kind.length, kind.lead)
+    ats = found.anchor - first[found.text]
+    flat = hits.flatten()
+    owner = np.repeat(np.arange(len(hits)), hits.value_lengths().to_numpy())
+    code = owner << 40 | flat.field("at").to_numpy()
+    by = np.argsort(code)
+    code, times = code[by], flat.field("n").to_numpy()[by]
+    own = found.text << 40 | ats
+    place = np.minimum(np.searchsorted(code, own), len(code) - 1)
+    hit = np.flatnonzero(code[place] == own)
+    text, anchor, at, times = found.text[hit], found.anchor[hit], ats[hit], times[place[hit]]
+    common = _common_key(kind, sums, found)[hit]
+    far = anchor - found.start[hit]
+    near = far - found.count[hit] + 1
+    width = np.where(times <= CROWD, kind.lead, np.where(times <= CROWD * kind.crowds, *kind.classes))
+    count = far // width - near // width + 1
+    run = np.repeat(np.arange(len(hit)), count)
+    which = (far // width)[run] - (np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count))
+    far, low = np.minimum(far[run], which * width[run] + width[run] - 1), np.maximum(near[run], which * width[run])
+    text, anchor, at, key, width = text[run], anchor[run], at[run], common[run], width[run]
+    cut = np.flatnonzero(width < kind.lead)
+    if len(cut):
+        # The symbols that all windows of a class share, whichever of them are here.
+        begin = anchor[cut] - which[cut] * width[cut]
+        shared = span_hash(sums, begin, begin - width[cut] + 1 + kind.length)
+        key[cut] = mixed(key[cut].view(np.uint64) * np.uint64(31) + which[cut].astype(np.uint64) + shared).view(np.int64)
+    return Parts(text, key, far, low, at, packed(anchor - far, anchor - low + kind.length))
 
 
 def _strings(hit: DataFrame, kind: Kind, members: bool) -> DataFrame:
@@ -152,9 +201,6 @@ def _strings(hit: DataFrame, kind: Kind, members: bool) -> DataFrame:
     kinds = {"digest": pa.binary(), "packed": pa.binary()}
     ddl = ", ".join(f"{n} {'binary' if n in kinds else 'long'}" for n in names)
 
-    def classed(count: int) -> int:
-        return kind.lead if count <= CROWD else kind.classes[0] if count <= CROWD * CROWD else kind.classes[1]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         held: dict[bytes, list] = {}
@@ -171,46 +217,26 @@ def _strings(hit: DataFrame, kind: Kind, members: bool) -> DataFrame:
             return batch
 
         for batch, data, bounds in pieces(batches):
-            _, sums, first, packed = read = kind.read(data, bounds)
-            found = runs(read[0], first, kind.length, kind.lead)
-            t1, t2, ids = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3))
-            hits = batch.column(4).to_pylist()
-            wanted = {(i, h["at"]): h["n"] for i, own in enumerate(hits) for h in own}
-            key = _common_key(kind, sums, found)
-            ats = found.anchor - first[found.text]
-            for text, start, count, anchor, at, common in zip(*(x.tolist() for x in (found.text, found.start, found.count, found.anchor, ats, key))):
-                times = wanted.get((text, at))
-                if times is None:
-                    continue
-                width = classed(times)
-                far, near = anchor - start, anchor - start - count + 1
-                while far >= near:
-                    # The windows of one class: distances from far down to low.
-                    low = max(near, far // width * width)
-                    if width < kind.lead:
-                        # What all windows of the class share, whichever of them are here.
-                        base = far // width * width
-                        shared = int(span_hash(sums, np.array([anchor - base]), np.array([anchor - base - width + 1 + kind.length]))[0])
-                        own = (common * 31 + base * 1_000_003 + shared) % (1 << 64) - (1 << 63)
-                    else:
-                        own = common
-                    string = packed(anchor - far, anchor - low + kind.length)
-                    digest = hashlib.blake2b(b"%d %d %d " % (own, far, low) + string, digest_size=16).digest()
-                    if members:
-                        out.append((digest, t1[text], t2[text], at))
-                    elif digest in held:
-                        known = held[digest]
-                        known[5] += 1
-                        known[6:] = min(known[6:], [ids[text], at])
-                    else:
-                        held[digest] = [own, digest, far, far - low + 1, string, 1, ids[text], at]
-                        size += len(string) + 200
-                    far = low - 1
+            part = _classed(batch.column("hits"), kind, data, bounds)
+            t1, t2, ids = (batch.column(c).to_numpy()[part.text].tolist() for c in ("t1", "t2", "id"))
+            head = np.column_stack([part.key, part.far, part.low]).tobytes()
+            fields = zip(part.strings, t1, t2, ids, *(x.tolist() for x in (part.at, part.key, part.far, part.low)))
+            for i, (string, a, b, own, at, key, far, low) in enumerate(fields):
+                digest = hashlib.blake2b(head[24 * i : 24 * i + 24] + string, digest_size=16).digest()
+                if members:
+                    out.append((digest, a, b, at))
+                elif digest in held:
+                    known = held[digest]
+                    known[5] += 1
+                    known[6:] = min(known[6:], [own, at])
+                else:
+                    held[digest] = [key, digest, far, far - low + 1, string, 1, own, at]
+                    size += len(string) + 200
                 if size > HELD or len(out) > 50_000:
                     yield handed()
         yield handed()
 
-    return hit.select("t1", "t2", "text", F.coalesce("id", F.lit(LAST)).alias("id"), "hits").mapInArrow(run, ddl)
+    return hit.withColumn("id", F.coalesce("id", F.lit(LAST))).mapInArrow(run, ddl)
 
 
 #: From rows of one bucket after another to a flag for every window of every string: occurs elsewhere; occurs earlier.

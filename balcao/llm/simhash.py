@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from balcao.llm.components import components
-from balcao.llm.frames import SPACES, checkpointed, pieces, words
+from balcao.llm.frames import checkpointed, joined_words, pieces
 
 SEED = 42
 BITS = 64
@@ -27,17 +27,10 @@ _LOWER[65:91] += 32
 
 def fingerprints(data: np.ndarray, bounds: np.ndarray, shingle: int) -> np.ndarray:
     """One 64-bit fingerprint per text: the majority of each bit over the hashes of all its shingles."""
-    begin, end, first = words(data, bounds)
+    text, begin, end, first = joined_words(_LOWER[data], bounds)
     out = np.zeros(len(bounds) - 1, dtype=np.uint64)
     if not len(begin):
         return out
-    # Words with one blank behind each, so that a shingle is one slice.
-    blank = SPACES[data]
-    keep = ~blank
-    keep[1:] |= blank[1:] & ~blank[:-1]
-    place = np.cumsum(keep) - 1
-    text = np.where(blank, 32, _LOWER[data]).astype(np.uint8)[keep].tobytes()
-    begin, end = place[begin], place[end - 1] + 1
     count = np.diff(first)
     shingles = np.where(count >= shingle, count - shingle + 1, np.minimum(count, 1))
     starts = np.concatenate(([0], np.cumsum(shingles)))

@@ -20,7 +20,8 @@ def _read(data: np.ndarray, bounds: np.ndarray):
     n = len(data)
     padded = np.concatenate((data, np.zeros(GRAM, np.uint8)))
     grams = repeats.mixed(np.ndarray((n,), "<u8", padded, strides=(1,)).astype(np.uint64))
-    return grams, repeats.running(data), bounds, lambda a, b: data[a:b].tobytes()
+    raw = data.tobytes()
+    return grams, repeats.running(data), bounds, lambda at, to: [raw[a:b] for a, b in zip(at.tolist(), to.tolist())]
 
 
 def kind(window: int) -> repeats.Kind:
@@ -28,7 +29,7 @@ def kind(window: int) -> repeats.Kind:
     if window < GRAM:
         raise ValueError(f"a window has {GRAM} bytes or more")
     lead = max(1, min(window * 3 // 4, window - GRAM + 1))
-    return repeats.Kind(window, lead, (max(1, window // 25), 1), 1 << 20, _read)
+    return repeats.Kind(window, lead, (max(1, window // 25), 1), 256, 1 << 20, _read)
 
 
 def _common(contexts: list[bytes], order: list[int], bucket: list[int]) -> np.ndarray:

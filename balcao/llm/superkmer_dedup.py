@@ -10,28 +10,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from balcao.llm import repeats
-from balcao.llm.frames import pieces, words
+from balcao.llm.frames import joined_words, pieces
 
 WINDOW = 35
 
 
 def _read(data: np.ndarray, bounds: np.ndarray):
-    begin, end, first = words(data, bounds)
+    text, begin, end, first = joined_words(data, bounds)
     if not len(begin):
         empty = np.zeros(0, np.uint64)
-        return empty, np.zeros(1, np.uint64), first, lambda a, b: b""
-    word = repeats.span_hash(repeats.running(data), begin, end)
+        return empty, np.zeros(1, np.uint64), first, lambda at, to: []
+    word = repeats.span_hash(repeats.running(np.frombuffer(text, np.uint8)), begin, end)
     pairs = repeats.mixed(word + np.append(word[1:], np.uint64(0)) * np.uint64(0x9E3779B97F4A7C15))
-    raw = data.tobytes()
-    begins, ends = begin.tolist(), end.tolist()
-    return pairs, repeats.running(word), first, lambda a, b: b" ".join(raw[begins[a] : ends[b - 1]].split())
+    return pairs, repeats.running(word), first, lambda at, to: [text[a:b] for a, b in zip(begin[at].tolist(), end[to - 1].tolist())]
 
 
 def kind(window: int) -> repeats.Kind:
     """Minimisers are pairs of words, so a window has two words at least."""
     if window < 2:
         raise ValueError("a window has two words or more")
-    return repeats.Kind(window, max(1, window * 7 // 10), (max(1, window // 8), 1), 1 << 18, _read)
+    return repeats.Kind(window, max(1, window * 7 // 10), (max(1, window // 8), 1), 8, 1 << 18, _read)
 
 
 def _judge(bucket: np.ndarray, packed: list[bytes], far: np.ndarray, count: np.ndarray, rank: np.ndarray):
