@@ -143,6 +143,18 @@ def single_month(period: Period) -> Range:
     return Range(F.lit(period.index), F.lit(period.index))
 
 
+def base_orders(orders: DataFrame, span: Range) -> DataFrame:
+    """The orders that snapshots of `span` are built from.
+
+    Bounds are on the day itself, so that a run of one month skips the files of other months.
+    """
+    return orders.filter(F.col("order_date") < M.first_day(span.last + 1))
+
+
+def _recent(known: DataFrame, span: Range) -> DataFrame:
+    return known.filter(F.col("order_date") >= M.first_day(span.first - (HISTORY - 1)))
+
+
 def months_in_reach(orders: DataFrame, details: DataFrame, span: Range) -> DataFrame:
     """(cliente_id, mes_idx, atras, measures): a month of purchases under each of the nine
     snapshots that look back on it, `atras` months later.
@@ -152,10 +164,8 @@ def months_in_reach(orders: DataFrame, details: DataFrame, span: Range) -> DataF
     most one row per month through the shuffle and is unfolded behind it; grouping
     by customer and snapshot needs no other. Money travels as whole cents.
     """
-    # Bounds on the day itself, so that a run of one month skips the files of other months.
-    known = orders.filter(F.col("order_date") < M.first_day(span.last + 1))
-    recent = known.filter(F.col("order_date") >= M.first_day(span.first - (HISTORY - 1)))
-    bought = monthly_volume(recent, details).withColumn("idx", M.index_of_key(F.col("ano_mes")))
+    known = base_orders(orders, span)
+    bought = monthly_volume(_recent(known, span), details).withColumn("idx", M.index_of_key(F.col("ano_mes")))
     bought = bought.select(
         "cliente_id",
         "idx",
@@ -238,9 +248,8 @@ def volume_series(orders: DataFrame, details: DataFrame, customers: DataFrame, s
     slice of it. The months of a customer, which the calendar bounds, travel as one list.
     """
     span = span or full_range(orders)
-    known = orders.filter(F.col("order_date") < M.first_day(span.last + 1))
-    recent = known.filter(F.col("order_date") >= M.first_day(span.first - (HISTORY - 1)))
-    bought = monthly_volume(recent, details).select(
+    known = base_orders(orders, span)
+    bought = monthly_volume(_recent(known, span), details).select(
         "cliente_id",
         F.struct(M.index_of_key(F.col("ano_mes")).alias("idx"), "quantidade_pedidos", "receita_total").alias("mes"),
     )

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
-from balcao.functions.months import key_of_index, month_label, month_name
+from balcao.functions.months import key_of_index, month_key, month_label, month_name
 from balcao.functions.numbers import rounded
 from balcao.operators import (
     actions, baskets, carts, controls, gold, offers, quality, search, snapshots, status,
@@ -53,13 +53,13 @@ def _parameter_sql(m: Model) -> DataFrame:
 
 def _snapshot_quality(m: Model) -> DataFrame:
     months = snapshots.snapshot_months(m.orders).select("ano_mes")
-    base_orders = m.orders.filter(F.year("order_date") * 12 + F.month("order_date") - 1 <= m.span.last)
+    base = snapshots.base_orders(m.orders, m.span)
     return quality.historico_cliente_metricas(
         m.metricas,
         months,
         key_of_index(m.span.last),
         snapshots.eligible_rows(m.orders, m.named_customers, m.span),
-        gold.monthly_volume(base_orders, m.details),
+        base.select(month_key(F.col("order_date")).alias("ano_mes")),
     )
 
 

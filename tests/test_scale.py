@@ -101,3 +101,29 @@ def test_one_product_in_a_third_of_all_orders(make_sales):
     stats = baskets.association_stats(orders, details, products)
     top = carts.top_partners(details.select(F.col("order_id").alias("cart_id"), "product_id"), baskets.ranked_partners(stats))
     assert top.filter("ordem > 5").isEmpty() and top.filter("produto_x = 1").count() > 0
+
+
+def test_a_later_month_in_the_base_is_found(spark):
+    from balcao.operators import quality
+    from balcao.operators.quality import SNAPSHOT_AMOUNTS, SNAPSHOT_RANGES
+
+    metrics = {f"{n}_{b}": F.lit(0.0) for n in SNAPSHOT_RANGES + SNAPSHOT_AMOUNTS for b in ("3m", "6m", "9m")}
+    rows = spark.createDataFrame([("1997-04", "A", "a"), ("1997-04", "A", "a")], "ano_mes string, cliente_id string, nome_empresa string")
+    months = spark.createDataFrame([("1997-03",)], "ano_mes string")
+    base = spark.createDataFrame([("1997-04",), ("1997-05",)], "ano_mes string")
+    eligible = spark.createDataFrame([(5,)], "valor long")
+    report = quality.historico_cliente_metricas(rows.withColumns(metrics), months, F.lit("1997-04"), eligible, base)
+    found = {r.regra: r.violacoes for r in report.collect() if r.violacoes}
+    assert found == {
+        "base com mes posterior": 1, "linhas fora dos meses processados": 2,
+        "chave (ano_mes, cliente_id) duplicada": 1, "clientes != populacao elegivel": 3,
+    }
+
+
+@given
+@pytest.mark.parametrize("name,scans", [("dq_historico_volume", 2), ("dq_historico_produtos", 2), ("dq_historico_metricas", 1)])
+def test_a_report_computes_its_table_once(spark, name, scans):
+    from balcao.plans import catalog
+
+    plan = catalog.run(name, spark, FOLDER)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("l_extendedprice") and sum("lineitem.parquet" in line for line in plan.split("\n") if "FileScan" in line) <= scans
