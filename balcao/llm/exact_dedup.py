@@ -57,21 +57,22 @@ def decisions(docs: DataFrame, normalise: str = "none", keep: str = "smallest")
     rows = checkpointed(
         _sorted_runs(docs, [], normalise, keep).select("_id", "_salt", "_sha", "_place", "_rows", "_best")
     )
+    # One key for text and salt: the rows of a large group are shuffled run by run.
+    rows = rows.withColumn("_run", F.concat_ws("/", "_sha", "_salt"))
     text = Window.partitionBy("_sha")
     best = F.col("_best").asc_nulls_last() if keep == "smallest" else F.col("_best").desc_nulls_last()
     runs = rows.filter("_place = 1").select(
-        F.col("_sha").alias("text_sha256"),
-        F.col("_salt").alias("salt"),
+        F.col("_run").alias("run"),
         (F.min if keep == "smallest" else F.max)("_best").over(text).alias("keep_id"),
         F.sum("_rows").over(text).alias("group_size"),
         (F.row_number().over(text.orderBy(best, "_salt")) == 1).alias("first"),
     )
-    return rows.join(runs, (rows["_sha"] == runs["text_sha256"]) & (rows["_salt"] == runs["salt"])).select(
+    return rows.join(runs, rows["_run"] == runs["run"]).select(
         F.col("_id").alias("doc_id"),
         "keep_id",
         "group_size",
         (F.col("first") & (F.col("_place") == 1)).alias("kept"),
-        "text_sha256",
+        F.col("_sha").alias("text_sha256"),
     )
 
 
