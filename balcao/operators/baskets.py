@@ -173,15 +173,31 @@ def association_stats(
     )
 
 
+def _partner_order() -> list[Column]:
+    return [
+        F.desc("pct_associacao"), F.asc("pct_outros"), F.desc("pedidos_com_x_e_y"),
+        locale_order(F.col("nome_y")), F.asc("produto_y"),
+    ]
+
+
 def ranked_partners(stats: DataFrame) -> DataFrame:
     """Position of every partner of a product; it does not depend on any cart."""
-    order = Window.partitionBy("produto_x").orderBy(
-        F.desc("pct_associacao"), F.asc("pct_outros"), F.desc("pedidos_com_x_e_y"),
-        locale_order(F.col("nome_y")), "produto_y",
-    )
+    order = Window.partitionBy("produto_x").orderBy(*_partner_order())
     return stats.withColumn("posicao", F.row_number().over(order))
 
 
+def best_partners(stats: DataFrame, limit: int, parts: int = 16) -> DataFrame:
+    """The first `limit` partners of each product.
+
+    They are ranked in parts first: a product that goes with all others sends `limit` rows of each part to the task
+    that ranks it, and is spread over the parts before.
+    """
+    part = F.pmod(F.xxhash64("produto_y"), F.lit(parts))
+    order = Window.partitionBy("produto_x", part).orderBy(*_partner_order())
+    first = stats.withColumn("posicao", F.row_number().over(order)).filter(F.col("posicao") <= limit)
+    return ranked_partners(first).filter(F.col("posicao") <= limit)
+
+
 # What the share of orders with only the two products tells.
 NEVER_ALONE = "nunca_sozinhos"
 STRONG = "forte"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from balcao.functions.numbers import ratio, rounded
 from balcao.functions.text import locale_order
+from balcao.operators.baskets import best_partners, ranked_partners
 
 TOP = 5
 # A cart of c products hides at most c - 1 partners of one of them, so the first
@@ -30,7 +31,7 @@ def _oversized(carts: DataFrame, limit: int) -> DataFrame:
     return sizes.filter(F.col("tamanho") > limit).hint("rebalance")
 
 
-def _small_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame, prefix: int) -> DataFrame:
+def _small_carts(carts: DataFrame, oversized: DataFrame, stats: DataFrame, prefix: int) -> DataFrame:
     """The cart travels as an array: exclusion and cut happen inside the row."""
     folded = (
         carts.join(oversized, "cart_id", "left_anti")
@@ -39,7 +40,7 @@ def _small_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame, pr
         .select("cart_id", "itens", F.explode("itens").alias("produto_x"))
     )
     best = (
-        partners.filter(F.col("posicao") <= prefix)
+        best_partners(stats, prefix)
         .groupBy("produto_x")
         .agg(F.sort_array(F.collect_list(F.struct(*PARTNER))).alias("parceiros"))
     )
@@ -78,12 +79,15 @@ def _large_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame) ->
     )
 
 
-def top_partners(carts: DataFrame, partners: DataFrame, prefix: int = PREFIX) -> DataFrame:
-    """The five best partners of each product of each cart, none of them in the cart."""
+def top_partners(carts: DataFrame, stats: DataFrame, prefix: int = PREFIX) -> DataFrame:
+    """The five best partners of each product of each cart, none of them in the cart.
+
+    Only carts too large for a prefix ask for every position; without them no product is ranked as a whole.
+    """
     carts = carts.select("cart_id", "product_id").distinct()
     oversized = _oversized(carts, prefix - TOP + 1)
-    small = _small_carts(carts, oversized, partners, prefix)
-    return small.unionByName(_large_carts(carts, oversized, partners))
+    small = _small_carts(carts, oversized, stats, prefix)
+    return small.unionByName(_large_carts(carts, oversized, ranked_partners(stats)))
 
 
 def combined_suggestions(top: DataFrame) -> DataFrame:

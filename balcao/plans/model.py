@@ -117,10 +117,6 @@ class Model:
     def associacoes(self) -> DataFrame:
         return baskets.association_stats(self.orders, self.details, self.products)
 
-    @cached_property
-    def parceiros(self) -> DataFrame:
-        return baskets.ranked_partners(self.associacoes)
-
     @cached_property
     def carrinhos(self) -> DataFrame:
         """Every order is a cart."""
@@ -128,7 +124,7 @@ class Model:
 
     @cached_property
     def melhores(self) -> DataFrame:
-        return carts.top_partners(self.carrinhos, self.parceiros)
+        return carts.top_partners(self.carrinhos, self.associacoes)
 
     @cached_property
     def sugestoes(self) -> DataFrame:

@@ -46,8 +46,8 @@ def local_session(cpus: int | str = "*", app: str = "balcao", **extra: str) -> S
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) -> None:
-    """Use the shared folder named by the cluster.
+def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False, folder: str | None = None) -> None:
+    """Use the shared folder named by the cluster, or `folder` where it names none.
 
     A machine-local folder is only taken for a local master, where every task
     runs on that machine.
@@ -55,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession, local_fallback: bool = False) ->
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or folder
     if shared:
         sc.setCheckpointDir(shared)
     elif local_fallback and sc.master.startswith("local"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
@@ -55,13 +56,20 @@ def write_checked(
 ) -> dict[str, int]:
     """Compute once, check, and only then write.
 
-    The checkpoint goes to the cluster's shared folder, so the rules and the write
-    read finished data and a lost executor costs nothing but its running tasks.
+    The finished rows wait in a folder of their own below the cluster's shared folder, so that the rules and the write
+    read them and a lost executor costs nothing but its running tasks. The folder goes when the write is done, or fails.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    done = df.checkpoint()
-    counts = require(rules(done))
-    write(done)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/checked-{uuid4().hex}"
+    waiting = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    try:
+        df.write.parquet(folder)
+        done = spark.read.schema(df.schema).parquet(folder)
+        counts = require(rules(done))
+        write(done)
+    finally:
+        waiting.getFileSystem(spark._jsc.hadoopConfiguration()).delete(waiting, True)
     return counts
 
 

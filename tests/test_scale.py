@@ -99,7 +99,7 @@ def test_one_product_in_a_third_of_all_orders(make_sales):
     from balcao.operators import baskets
 
     stats = baskets.association_stats(orders, details, products)
-    top = carts.top_partners(details.select(F.col("order_id").alias("cart_id"), "product_id"), baskets.ranked_partners(stats))
+    top = carts.top_partners(details.select(F.col("order_id").alias("cart_id"), "product_id"), stats)
     assert top.filter("ordem > 5").isEmpty() and top.filter("produto_x = 1").count() > 0
 
 
