@@ -14,10 +14,13 @@ def _starred(edges: DataFrame, larger: bool) -> DataFrame:
     if not larger:
         both = both.filter("b < a")
     least = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("m"))
+    # The join is on another form of the node, so both sides are shuffled for it and a large star can be split.
+    least = least.select(F.bitwise_not("a").alias("turned"), "m")
+    both = both.withColumn("turned", F.bitwise_not("a"))
     if larger:
-        moved = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = both.filter("b > a").join(least, "turned").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        moved = both.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+        moved = both.join(least, "turned").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
     return moved.filter("a != b").distinct()
 
 

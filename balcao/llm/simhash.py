@@ -224,7 +224,9 @@ def near_groups(docs: DataFrame, shingle: int = 4, distance: int = 4) -> DataFra
     roots = components(linked(prints.select("fp"), distance))
     named = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = checkpointed(named)
-    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    # As in `components`: the join is on another form of the root, so a large component can be split.
+    names = named.groupBy(F.bitwise_not("root").alias("turned")).agg(F.min("least").alias("component_id"))
+    names = names.select(F.bitwise_not("turned").alias("root"), "component_id")
     component = named.select("fp", "root").join(names, "root").select("fp", "component_id")
     return rows.join(component, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "h"
