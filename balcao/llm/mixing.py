@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from balcao.llm.frames import WORD_BREAK, checkpointed
@@ -13,6 +13,7 @@ from balcao.llm.frames import WORD_BREAK, checkpointed
 #: Labelled documents that the classifier is fitted on at most, chosen by the hash of their id, and words it knows.
 MOST_LABELLED = 20_000
 MOST_WORDS = 1_500
+PARTS = 16
 #: Words whose evidence counts; a longer text is as sure as one of this length.
 EVIDENCE = 40
 STEPS = 40
@@ -48,8 +49,12 @@ def classifier(docs: DataFrame, labels: DataFrame, domains: list[str], domain: s
     training = training.join(F.broadcast(chosen), F.col("doc_id") == F.col("_label"), "left_semi").select("domain", "text")
     counts = [F.count_if(F.col("domain") == d).alias(f"c{i}") for i, d in enumerate(domains)]
     table = _words(training).groupBy("word").agg(F.count(F.lit(1)).alias("n"), *counts)
-    # One more word than asked for: the empty one counts the documents.
-    known = checkpointed(table.orderBy((F.col("word") != ""), F.col("n").desc(), "word").limit(MOST_WORDS + 1))
+    # One more word than asked for: the empty one counts the documents. A few parts are ranked first, so that the last
+    # task gets a fixed number of rows whatever the number of partitions.
+    order = [F.col("word") != "", F.col("n").desc(), "word"]
+    part = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(PARTS))).orderBy(*order)
+    best = table.withColumn("place", F.row_number().over(part)).filter(F.col("place") <= MOST_WORDS + 1).drop("place")
+    known = checkpointed(best.orderBy(*order).limit(MOST_WORDS + 1))
     names = [f"c{i}" for i in range(len(domains))]
     documents = known.filter("word = ''").agg(*(F.sum(c) for c in names)).first()
     totals = known.filter("word != ''").agg(F.count(F.lit(1)), *(F.sum(c) for c in names)).first()
@@ -72,7 +77,12 @@ def posteriors(docs: DataFrame, model: DataFrame, prior: list[float]) -> DataFra
         _words(docs.select(*_keys(docs), "text"))
         .join(F.broadcast(model), "word", "left")
         .groupBy(*_KEY)
-        .agg(F.count_if(F.col("word") == "").alias("rows"), F.count(F.lit(1)).alias("n"), F.count("w0").alias("known"), *(F.sum(f"w{i}").alias(f"s{i}") for i in k))
+        .agg(
+            F.count_if(F.col("word") == "").alias("rows"),
+            F.count(F.lit(1)).alias("n"),
+            F.count("w0").alias("known"),
+            *(F.sum(f"w{i}").alias(f"s{i}") for i in k),
+        )
     )
     tokens = ((F.col("n") - F.col("rows")) / F.col("rows")).cast("long")
     share = F.least(F.lit(float(EVIDENCE)), F.col("known") / F.col("rows")) / F.greatest("known", F.lit(1))
@@ -102,7 +112,9 @@ def fit_rates(table: DataFrame, weights: list[float], total: float | None, toler
     """
     k = range(len(weights))
     mass = F.col("rows") * F.col("tokens")
-    moments = table.agg(*(F.sum(mass * F.col("p")[i]).alias(f"b{i}") for i in k), *(F.sum(mass * F.col("p")[i] * F.col("p")[j]).alias(f"m{i}_{j}") for i in k for j in k)).first()
+    p = F.col("p")
+    first = [F.sum(mass * p[i]).alias(f"b{i}") for i in k]
+    moments = table.agg(*first, *(F.sum(mass * p[i] * p[j]).alias(f"m{i}_{j}") for i in k for j in k)).first()
     now = np.array([moments[f"b{i}"] or 0.0 for i in k])
     second = np.array([[moments[f"m{i}_{j}"] or 0.0 for j in k] for i in k])
     share = np.array(weights) / sum(weights)
@@ -124,7 +136,15 @@ def fit_rates(table: DataFrame, weights: list[float], total: float | None, toler
     return steps
 
 
-def rated(docs: DataFrame, labels: DataFrame, targets: dict[str, float], domain: str = "lang", total: float | None = None, tolerance: float = 1e-4, seed: int = 11) -> DataFrame:
+def rated(
+    docs: DataFrame,
+    labels: DataFrame,
+    targets: dict[str, float],
+    domain: str = "lang",
+    total: float | None = None,
+    tolerance: float = 1e-4,
+    seed: int = 11,
+) -> DataFrame:
     """One row per distinct document: _id, _none, _h, rows, tokens, p, rate, copies.
 
     `copies` rounds the rate up or down by a hash of id, text and seed, so that its expectation is the rate.
