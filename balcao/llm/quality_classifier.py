@@ -142,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, ridge: float = 1e-3, seed: int = 7)
     """Fits on labelled rows outside the held-out fold, MOST_LABELLED of them at most.
 
     One fold calibrates, the others fit. Each partition sums its own normal equations; the driver adds PARTS of them.
-    Labels that are null are left out. Without a label of some kind the score is constant.
+    Labels that are null are left out. Without any label the score is constant.
     """
     chosen = (
         labels.select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("y"), _fold().alias("fold"))
@@ -151,9 +151,10 @@ def fit(docs: DataFrame, labels: DataFrame, ridge: float = 1e-3, seed: int = 7)
         .limit(MOST_LABELLED)
     )
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
-    joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("fold", "y", "_text")
-    # A label may belong to several rows of a table that repeats its ids, so the bound is held here too.
-    sample = checkpointed(_statistics_of(joined, "fold long, y double").repartition(PARTS))
+    joined = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "fold", "y", "_text")
+    # Where several rows have the id of a label, one of them is taken, so that the bound holds here too.
+    seen = _statistics_of(joined, "_id long, fold long, y double").groupBy("_id", "fold", "y").agg(F.min("x").alias("x"))
+    sample = checkpointed(seen.repartition(PARTS))
 
     d = len(STATISTICS)
     moments = sample.select(F.posexplode("x").alias("i", "v")).groupBy("i").agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect()
