@@ -42,7 +42,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), bounds
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with about `size` bytes of text; one row at least. A row is never cut."""
     for batch in batches:
         if not batch.num_rows:

@@ -7,9 +7,9 @@ the same minimiser travel as one packed string. Hashes only decide where strings
 is decided on the symbols, by the operator that calls this module.
 
 Equal texts are one text here, named by half of their SHA-256. Only minimisers whose key occurs twice send strings.
-Where a key occurs more than CROWD times its windows are dealt anew, in narrower classes of the distance between window
-and minimiser, by the symbols that all windows of the class share; the narrowest class is a single window, and then
-all that meet are equal. So no bucket holds more than equal strings, which are counted before the shuffle.
+Equal strings are counted before the shuffle. Where a key has more than CROWD different strings its windows are dealt
+anew, in narrower classes of the distance between window and minimiser, by the symbols that all windows of the class
+share; the narrowest class is a single window, and then all that meet are equal.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from balcao.llm.frames import pieces
 
-CROWD = 256
+CROWD = 1024
 #: Bytes of distinct strings a task remembers while it counts equal ones.
 HELD = 32 << 20
 LAST = (1 << 63) - 1
@@ -95,6 +95,10 @@ def runs(grams: np.ndarray, first: np.ndarray, length: int, lead: int) -> Runs:
     return Runs(np.searchsorted(first, begin, side="right") - 1, begin, np.diff(np.append(head, len(starts))), anchor[head])
 
 
+#: From first symbols and symbols after the last to the packed strings.
+Pack = Callable[[np.ndarray, np.ndarray], list[bytes]]
+
+
 @dataclass(frozen=True)
 class Kind:
     """What a symbol is. `read` gives grams, running sums, first symbols and a function that packs spans."""
@@ -102,9 +106,9 @@ class Kind:
     length: int
     lead: int
     classes: tuple[int, int]  # widths of the narrower classes
-    crowds: int  # times CROWD, occurrences up to which the wider of them holds
+    crowds: int  # times CROWD, strings of a key up to which the wider of them holds
     block: int  # windows that a task judges at one time
-    read: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, Callable[[np.ndarray, np.ndarray], list[bytes]]]]
+    read: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, Pack]]
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -127,7 +131,7 @@ def _common_key(kind: Kind, sums: np.ndarray, found: Runs) -> np.ndarray:
 
 
 def _hits(texts: DataFrame, kind: Kind) -> DataFrame:
-    """(t1, t2, hits): the minimisers of each text whose key occurs twice, with the number of occurrences."""
+    """(t1, t2, hits): the minimisers of each text whose key occurs twice, with the number of its different strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, bounds in pieces(batches):
@@ -135,15 +139,19 @@ def _hits(texts: DataFrame, kind: Kind) -> DataFrame:
             found = runs(grams, first, kind.length, kind.lead)
             t1, t2 = (batch.column(i).to_numpy()[found.text] for i in (0, 1))
             at = (found.anchor - first[found.text]).astype(np.int64)
-            columns = [pa.array(x) for x in (_common_key(kind, sums, found), t1, t2, at)]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "t1", "t2", "at"])
+            whole = span_hash(sums, found.start, found.start + found.count - 1 + kind.length)
+            whole = (whole + mixed((found.anchor - found.start).astype(np.uint64))).view(np.int64)
+            columns = [pa.array(x) for x in (_common_key(kind, sums, found), whole, t1, t2, at)]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "whole", "t1", "t2", "at"])
 
     # All columns are read, so that every reader of the distinct texts shares one shuffle of them.
-    rows = texts.mapInArrow(run, "key long, t1 long, t2 long, at long")
-    often = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = texts.mapInArrow(run, "key long, whole long, t1 long, t2 long, at long")
+    kinds = rows.groupBy("key", "whole").agg(F.count(F.lit(1)).alias("times"))
+    often = kinds.groupBy("key").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("n")).filter("times > 1")
     # The join is on another form of the key, so both sides are shuffled for it and a frequent key can be split.
     often = often.select(F.bitwise_not("key").alias("turned"), "n")
-    return rows.withColumn("turned", F.bitwise_not("key")).join(often, "turned").groupBy("t1", "t2").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
+    hits = rows.withColumn("turned", F.bitwise_not("key")).join(often, "turned")
+    return hits.groupBy("t1", "t2").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
 
 
 @dataclass(frozen=True)
@@ -159,7 +167,7 @@ class Parts:
 
 
 def _classed(hits: pa.ListArray, kind: Kind, data: np.ndarray, bounds: np.ndarray) -> Parts:
-    """The runs whose minimiser was hit, cut into narrower classes where it was hit too often."""
+    """The runs whose minimiser was hit, cut into narrower classes where its key has too many strings."""
     grams, sums, first, packed = kind.read(data, bounds)
     found = runs(grams, first, kind.length, kind.lead)
     ats = found.anchor - first[found.text]
@@ -272,7 +280,8 @@ def _verdicts(strings: DataFrame, kind: Kind, judge: Judge, first_stays: bool) -
         rest = _spans(owner, offset, np.ones(len(owner), bool), len(merged), kind.length) if first_stays else spans
         keep = [i for i in range(len(merged)) if spans[i] or (first_stays and times[i] > 1)]
         span = pa.list_(pa.int64())
-        columns = [pa.array([x[i] for i in keep], t) for x, t in ((digest, pa.binary()), (ids, pa.int64()), (at, pa.int64()), (spans, span), (rest, span))]
+        typed = ((digest, pa.binary()), (ids, pa.int64()), (at, pa.int64()), (spans, span), (rest, span))
+        columns = [pa.array([x[i] for i in keep], t) for x, t in typed]
         return pa.RecordBatch.from_arrays(columns, names=["digest", "id", "at", "spans", "all_spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +325,10 @@ def repeated(texts: DataFrame, kind: Kind, judge: Judge, first_stays: bool) -> D
         members = members.join(ids, ["t1", "t2"])
     v = verdicts.withColumnRenamed("at", "first_at")
     met = members.join(v, "digest")
-    spans = F.when((F.col("own") == F.col("id")) & (F.col("at") == F.col("first_at")), F.col("spans")).otherwise(F.col("all_spans")) if first_stays else F.col("spans")
+    spans = F.col("spans")
+    if first_stays:
+        first = (F.col("own") == F.col("id")) & (F.col("at") == F.col("first_at"))
+        spans = F.when(first, spans).otherwise(F.col("all_spans"))
     placed = met.select("t1", "t2", F.transform(spans, lambda x: x + F.col("at")).alias("spans"))
     gathered = placed.groupBy("t1", "t2").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return texts.join(gathered, ["t1", "t2"], "left")

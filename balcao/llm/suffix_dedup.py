@@ -29,7 +29,7 @@ def kind(window: int) -> repeats.Kind:
     if window < GRAM:
         raise ValueError(f"a window has {GRAM} bytes or more")
     lead = max(1, min(window * 3 // 4, window - GRAM + 1))
-    return repeats.Kind(window, lead, (max(1, window // 25), 1), 256, 1 << 20, _read)
+    return repeats.Kind(window, lead, (max(1, window // 6), 1), 64, 1 << 20, _read)
 
 
 def _common(contexts: list[bytes], order: list[int], bucket: list[int]) -> np.ndarray:

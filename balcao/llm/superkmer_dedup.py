@@ -29,7 +29,7 @@ def kind(window: int) -> repeats.Kind:
     """Minimisers are pairs of words, so a window has two words at least."""
     if window < 2:
         raise ValueError("a window has two words or more")
-    return repeats.Kind(window, max(1, window * 7 // 10), (max(1, window // 8), 1), 8, 1 << 18, _read)
+    return repeats.Kind(window, max(1, window * 7 // 10), (max(1, window // 8), 1), 2, 1 << 18, _read)
 
 
 def _judge(bucket: np.ndarray, packed: list[bytes], far: np.ndarray, count: np.ndarray, rank: np.ndarray):
@@ -57,7 +57,9 @@ def _judge(bucket: np.ndarray, packed: list[bytes], far: np.ndarray, count: np.n
     return other, earlier
 
 
-def removed(docs: DataFrame, window: int = WINDOW, keep: str = "none", outputs: dict[str, Column] | None = None) -> DataFrame:
+def removed(
+    docs: DataFrame, window: int = WINDOW, keep: str = "none", outputs: dict[str, Column] | None = None
+) -> DataFrame:
     """One row per row of `docs`: doc_id, n_words, n_removed, spans, and the kept words (or `outputs` made of `kept`).
 
     A word is removed when a window that covers it has its word sequence elsewhere too, in another text or the same
@@ -74,6 +76,8 @@ def removed(docs: DataFrame, window: int = WINDOW, keep: str = "none", outputs:
     spanned = repeats.repeated(texts, kind(window), _judge, kept_first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["t1", "t2", "id", "n_words", "n_removed", "spans", "kept"]
+        types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
         for batch, data, bounds in pieces(batches):
             raw, rows = data.tobytes(), []
             for i, (copies, spans) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5))):
@@ -83,10 +87,11 @@ def removed(docs: DataFrame, window: int = WINDOW, keep: str = "none", outputs:
                 if whole and not kept_first:
                     gone[:] = True
                 edge = np.flatnonzero(np.diff(np.concatenate(([0], gone, [0])))).tolist()
-                rows.append((len(own), int(gone.sum()), edge, b" ".join([w for w, x in zip(own, gone.tolist()) if not x]) if edge else b" ".join(own)))
-            columns = list(zip(*rows))
-            types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *(pa.array(c, t) for c, t in zip(columns, types))], names=["t1", "t2", "id", "n_words", "n_removed", "spans", "kept"])
+                if edge:
+                    own = [w for w, x in zip(own, gone.tolist()) if not x]
+                rows.append((len(gone), int(gone.sum()), edge, b" ".join(own)))
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *columns], names=names)
 
     judged = spanned.select("t1", "t2", "text", "id", "copies", "spans").mapInArrow(
         run, "t1 long, t2 long, id long, n_words long, n_removed long, spans array<long>, kept binary"
