@@ -111,7 +111,9 @@ class MinimumSlack:
         return out
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, window: int = WINDOW, with_ids: bool = False
+) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; with_ids adds ids.
 
     A document is the ids of its text and then `end`. Whole sequences are cut off its front; the remainder stays in
@@ -121,9 +123,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, w
     Null and empty texts are documents of one id. Repeated rows are packed once each; a null id is handed on. Very
     long texts are encoded in parts. Other columns are not read. An empty table gives no rows.
     """
-    fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]
-    fields += [("ids", pa.list_(pa.int32()))] * with_ids
-    schema = pa.schema(fields)
+    names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    schema = pa.schema([*((n, pa.int64()) for n in names), *[("ids", pa.list_(pa.int32()))] * with_ids])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -164,5 +165,5 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, w
             sequence(waiting.fill())
         yield handed()
 
-    ddl = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
+    ddl = ", ".join(f"{n} long" for n in names) + ", ids array<int>" * with_ids
     return docs.selectExpr("cast(doc_id AS long) AS doc_id", "text").mapInArrow(run, ddl)
