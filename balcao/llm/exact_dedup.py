@@ -44,7 +44,7 @@ def _sorted_runs(docs: DataFrame, carried: list[Column], normalise: str, keep: s
             "_best": (F.min if keep == "smallest" else F.max)("_id").over(run),
             "_sha": F.sha2(F.col("_text").cast("binary"), 256),
         }
-    ).drop("_text", "_head")
+    ).drop("_head")
 
 
 def decisions(docs: DataFrame, normalise: str = "none", keep: str = "smallest") -> DataFrame:
@@ -79,10 +79,16 @@ def decisions(docs: DataFrame, normalise: str = "none", keep: str = "smallest")
 def deduplicated(docs: DataFrame, normalise: str = "none", keep: str = "smallest") -> DataFrame:
     """The kept rows of `docs` with all their columns.
 
-    The whole row travels with its text: first in content order, then the head of each run to the other heads of its
-    text. Columns of any name may be present.
+    The whole row travels with its text, which is carried once where it is not normalised: first in content order, then
+    the head of each run to the other heads of its text. Columns of any name may be present.
     """
-    heads = _sorted_runs(docs, [F.struct("*").alias("_row")], normalise, keep).filter("_place = 1")
+    quoted = {c: F.col(f"`{c.replace('`', '``')}`") for c in docs.columns}
+    own = normalise == "none"
+    carried = F.struct(*(v for c, v in quoted.items() if not (own and c == "text"))).alias("_row")
+    missing = F.col("text").isNull().alias("_missing")
+    heads = _sorted_runs(docs, [carried, missing], normalise, keep).filter("_place = 1")
     order = F.col("_id").asc_nulls_last() if keep == "smallest" else F.col("_id").desc_nulls_last()
     first = F.row_number().over(Window.partitionBy("_sha").orderBy(order, "_salt"))
-    return heads.withColumn("_first", first).filter("_first = 1").select("_row.*")
+    text = F.when(~F.col("_missing"), F.col("_text"))
+    columns = [(text if own and c == "text" else F.col("_row").getField(c)).alias(c) for c in docs.columns]
+    return heads.withColumn("_first", first).filter("_first = 1").select(*columns)
