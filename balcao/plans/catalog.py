@@ -139,6 +139,9 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "assoc_stats": lambda m: m.associacoes,
     "assoc_evidence": lambda m: baskets.association_evidence(m.associacoes),
     "assoc_top5": lambda m: m.melhores,
+    # The paths of large orders and carts, which the test data would not take by itself.
+    "assoc_stats_tiles": lambda m: baskets.association_stats(m.orders, m.details, m.products, block=3),
+    "assoc_top5_large_carts": lambda m: carts.top_partners(m.carrinhos, m.associacoes, prefix=6),
     "cart_suggestions": lambda m: _scores(carts.combined_suggestions(m.melhores)),
     "cart_suggestions_ranked": lambda m: _scores(m.sugestoes),
     "cart_suggestion_origins": lambda m: carts.suggestion_origins(m.melhores, m.products),

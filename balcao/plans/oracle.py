@@ -604,6 +604,8 @@ QUERIES = {
                      CAST(pedidos_com_x_e_y - pedidos_com_outros AS DOUBLE) / pedidos_com_x_e_y * 100 AS pct
               FROM assoc)""",
     "assoc_top5": f"SELECT cart_id, {PARTNER}, ordem FROM top5",
+    "assoc_stats_tiles": f"SELECT {PARTNER} FROM assoc",
+    "assoc_top5_large_carts": f"SELECT cart_id, {PARTNER}, ordem FROM top5",
     "cart_suggestions": f"SELECT {SUGGESTION} FROM sugestoes",
     "cart_suggestions_ranked": f"SELECT {SUGGESTION}, posicao FROM sugestoes_ordem",
     "cart_suggestion_origins": """
