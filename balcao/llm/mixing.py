@@ -5,15 +5,15 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from balcao.llm.frames import WORD_BREAK, checkpointed
 
-#: Labelled documents that the classifier is fitted on at most, chosen by the hash of their id, and words it knows.
+#: Labelled documents that the classifier is fitted on at most, chosen by the hash of their id; it knows all their words.
 MOST_LABELLED = 20_000
-MOST_WORDS = 1_500
-PARTS = 16
+#: Bytes of the word table up to which every task gets it whole; a larger one meets the words in a shuffle.
+BROADCAST_BYTES = 96 << 20
 #: Words whose evidence counts; a longer text is as sure as one of this length.
 EVIDENCE = 40
 STEPS = 40
@@ -37,10 +37,10 @@ def _words(rows: DataFrame) -> DataFrame:
     return rows.withColumn("word", F.explode(listed)).drop("text")
 
 
-def classifier(docs: DataFrame, labels: DataFrame, domains: list[str], domain: str) -> tuple[DataFrame, list[float]]:
-    """Log-likelihood of each known word in each domain, (word, w0, w1, ...), and the log-priors.
+def classifier(docs: DataFrame, labels: DataFrame, domains: list[str], domain: str) -> tuple[DataFrame, list[float], int]:
+    """Log-likelihood of each word in each domain, (word, w0, w1, ...), the log-priors, and the bytes of the words' table.
 
-    Multinomial naive Bayes on the documents that `labels` has. Labels without an id and documents whose domain is
+    Multinomial naive Bayes on the documents that `labels` has, with every word of them. Labels without an id and documents whose domain is
     null or has no target are left out.
     """
     chosen = labels.select(F.col("doc_id").alias("_label")).filter("_label IS NOT NULL").distinct()
@@ -48,41 +48,40 @@ def classifier(docs: DataFrame, labels: DataFrame, domains: list[str], domain: s
     training = docs.select("doc_id", "text", F.col(domain).alias("domain")).filter(F.col("domain").isin(domains))
     training = training.join(F.broadcast(chosen), F.col("doc_id") == F.col("_label"), "left_semi").select("domain", "text")
     counts = [F.count_if(F.col("domain") == d).alias(f"c{i}") for i, d in enumerate(domains)]
-    table = _words(training).groupBy("word").agg(F.count(F.lit(1)).alias("n"), *counts)
-    # One more word than asked for: the empty one counts the documents. A few parts are ranked first, so that the last
-    # task gets a fixed number of rows whatever the number of partitions.
-    order = [F.col("word") != "", F.col("n").desc(), "word"]
-    part = Window.partitionBy(F.pmod(F.xxhash64("word"), F.lit(PARTS))).orderBy(*order)
-    best = table.withColumn("place", F.row_number().over(part)).filter(F.col("place") <= MOST_WORDS + 1).drop("place")
-    known = checkpointed(best.orderBy(*order).limit(MOST_WORDS + 1))
+    # The empty word counts the documents.
+    known = checkpointed(_words(training).groupBy("word").agg(*counts))
     names = [f"c{i}" for i in range(len(domains))]
     documents = known.filter("word = ''").agg(*(F.sum(c) for c in names)).first()
-    totals = known.filter("word != ''").agg(F.count(F.lit(1)), *(F.sum(c) for c in names)).first()
+    totals = known.filter("word != ''").agg(F.count(F.lit(1)), F.sum(F.octet_length("word")), *(F.sum(c) for c in names)).first()
+    size = (totals[1] or 0) + totals[0] * (48 + 8 * len(domains))
     all_docs = sum(x or 0 for x in documents)
     prior = [math.log(((x or 0) + 1) / (all_docs + len(domains))) for x in documents]
     weights = [
         F.log((F.col(c) + 1) / F.lit((total or 0) + totals[0] + 1.0)).alias(f"w{i}")
-        for i, (c, total) in enumerate(zip(names, totals[1:]))
+        for i, (c, total) in enumerate(zip(names, totals[2:]))
     ]
-    return known.filter("word != ''").select("word", *weights), prior
+    return known.filter("word != ''").select("word", *weights), prior, size
 
 
-def posteriors(docs: DataFrame, model: DataFrame, prior: list[float]) -> DataFrame:
+def posteriors(docs: DataFrame, model: DataFrame, prior: list[float], size: int) -> DataFrame:
     """(_id, _none, _h, rows, tokens, p): words and domain posteriors of each document, and how often its row occurs.
 
-    Words meet the model, whose size is bounded, in a broadcast join and are summed by document before any shuffle.
+    Words meet a model of up to BROADCAST_BYTES in a broadcast join and are summed by document before any shuffle. For a
+    larger one equal words of a document are counted first, and a frequent word's documents can be split in the join.
     """
     k = range(len(prior))
-    summed = (
-        _words(docs.select(*_keys(docs), "text"))
-        .join(F.broadcast(model), "word", "left")
-        .groupBy(*_KEY)
-        .agg(
-            F.count_if(F.col("word") == "").alias("rows"),
-            F.count(F.lit(1)).alias("n"),
-            F.count("w0").alias("known"),
-            *(F.sum(f"w{i}").alias(f"s{i}") for i in k),
-        )
+    words = _words(docs.select(*_keys(docs), "text"))
+    if size <= BROADCAST_BYTES:
+        times = F.lit(1)
+        met = words.join(F.broadcast(model), "word", "left")
+    else:
+        times = F.col("times")
+        met = words.groupBy(*_KEY, "word").agg(F.count(F.lit(1)).alias("times")).join(model.hint("merge"), "word", "left")
+    summed = met.groupBy(*_KEY).agg(
+        F.sum(F.when(F.col("word") == "", times).otherwise(0)).alias("rows"),
+        F.sum(times).alias("n"),
+        F.sum(F.when(F.col("w0").isNotNull(), times).otherwise(0)).alias("known"),
+        *(F.sum(F.col(f"w{i}") * times).alias(f"s{i}") for i in k),
     )
     tokens = ((F.col("n") - F.col("rows")) / F.col("rows")).cast("long")
     share = F.least(F.lit(float(EVIDENCE)), F.col("known") / F.col("rows")) / F.greatest("known", F.lit(1))
@@ -150,8 +149,8 @@ def rated(
     `copies` rounds the rate up or down by a hash of id, text and seed, so that its expectation is the rate.
     """
     domains = sorted(targets)
-    model, prior = classifier(docs, labels, domains, domain)
-    table = checkpointed(posteriors(docs, model, prior))
+    model, prior, size = classifier(docs, labels, domains, domain)
+    table = checkpointed(posteriors(docs, model, prior, size))
     steps = fit_rates(table, [targets[d] for d in domains], total, tolerance)
     chance = F.pmod(F.xxhash64("_id", "_none", "_h", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
     return table.withColumn("rate", _rate(steps)).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))

@@ -77,3 +77,38 @@ def test_empty_and_unlabelled(docs, empty, spark):
     found = mixing.rates(docs, none, TARGETS).toPandas()
     assert np.allclose(found["p_en"], 1 / 3)
     assert mixing.mixed(docs, none, TARGETS).dtypes == docs.dtypes
+
+
+@pytest.fixture(scope="module")
+def tabled(spark):
+    """Tables of words that are rare each, split by one sign that all languages share; 3,000 words in all."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(1200):
+        lang = rng.choices(list(WORDS), [6, 3, 1])[0]
+        sign = "|" if lang == "fr" or rng.random() < 0.5 else ";"
+        rows.append((i, f" {sign} ".join(f"{lang}{rng.randrange(1000)}" for _ in range(30)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    return rows, docs, spark.createDataFrame([(i,) for i in range(1000)], "doc_id long")
+
+
+def test_every_labelled_word_is_known(tabled):
+    rows, docs, labels = tabled
+    model = mixing.classifier(docs, labels, sorted(TARGETS), "lang")[0]
+    assert {r["word"] for r in model.collect()} == {w for i, text, _ in rows if i < 1000 for w in text.split()}
+    found = mixing.rates(docs, labels, TARGETS).toPandas().set_index("doc_id")
+    assert all(found["domain"][i] == lang for i, _, lang in rows)
+    # What is mixed, by the documents' own languages.
+    mass = (found["copies"] * found["tokens"]).groupby(found.index.map({i: lang for i, _, lang in rows})).sum()
+    assert all(abs(mass[d] / mass.sum() - TARGETS[d]) < 0.02 for d in TARGETS)
+
+
+def test_large_word_table_gives_the_same(tabled, tables, monkeypatch):
+    for _, docs, labels in (tabled, tables):
+        columns = [f"p_{d}" for d in sorted(TARGETS)]
+        small = mixing.rates(docs, labels, TARGETS).toPandas().sort_values(["doc_id", *columns])
+        with monkeypatch.context() as m:
+            m.setattr(mixing, "BROADCAST_BYTES", -1)
+            large = mixing.rates(docs, labels, TARGETS).toPandas().sort_values(["doc_id", *columns])
+        assert (small["tokens"].to_numpy() == large["tokens"].to_numpy()).all()
+        assert np.allclose(small[[*columns, "rate"]], large[[*columns, "rate"]])
