@@ -17,6 +17,8 @@ BROADCAST_BYTES = 96 << 20
 #: Words whose evidence counts; a longer text is as sure as one of this length.
 EVIDENCE = 40
 STEPS = 40
+#: How many times the total may grow so that the targets are met without a rate below the least one.
+MOST_GROWTH = 2.0
 _BLANKS = "\t\n\x0b\x0c\r "
 _KEY = ["_id", "_none", "_h"]
 
@@ -93,21 +95,23 @@ def posteriors(docs: DataFrame, model: DataFrame, prior: list[float], size: int)
     )
 
 
-def _rate(steps: list[np.ndarray]) -> Column:
-    """The rates after the steps: one to begin with, each step along the posteriors, never below zero."""
-    rate = F.lit(1.0)
+def _rate(steps: list[np.ndarray], least: float) -> Column:
+    """The rates after the steps: one to begin with, each step along the posteriors, never below `least`."""
+    rate = F.lit(max(1.0, least))
     for step in steps:
         moved = sum((F.col("p")[i] * float(x) for i, x in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - moved)
+        rate = F.greatest(F.lit(float(least)), rate - moved)
     return rate
 
 
-def fit_rates(table: DataFrame, weights: list[float], total: float | None, tolerance: float) -> list[np.ndarray]:
+def fit_rates(table: DataFrame, weights: list[float], total: float | None, tolerance: float, least: float = 0.0) -> list[np.ndarray]:
     """Steps of projected gradient on the squares of expected domain totals less targets.
 
     The gradient is taken in the metric of tokens and scaled by the domains' second moments, so that a rate depends
     on the posteriors only and one step is exact unless a rate meets zero. Each step is one aggregation of a few sums
-    over all documents. Without `total`, it is the least at which no domain loses tokens.
+    over all documents. Without `total`, it is the least at which no domain loses tokens; with `least`, the least at
+    which rates that are a mean of the domains' rates, weighted by the posteriors, meet the targets and are all `least`
+    or more. Where that takes over MOST_GROWTH times as many, or no total does, targets are met as near as `least` lets.
     """
     k = range(len(weights))
     mass = F.col("rows") * F.col("tokens")
@@ -118,17 +122,21 @@ def fit_rates(table: DataFrame, weights: list[float], total: float | None, toler
     second = np.array([[moments[f"m{i}_{j}"] or 0.0 for j in k] for i in k])
     share = np.array(weights) / sum(weights)
     if total is None:
-        total = max((x / w for x, w in zip(now, share) if w > 0), default=0.0)
+        total = max((x / w for x, w in zip(now, share) if w > 0), default=0.0) * max(1.0, least)
+        # Rates of total * (p . pull) meet the targets; posteriors sum to one, so none is below the least pull's.
+        pull = np.linalg.lstsq(second, share, rcond=1e-9)[0]
+        if least > 0 and pull.min() * total * MOST_GROWTH >= least and np.allclose(second @ pull, share, atol=tolerance):
+            total = max(total, least / pull.min())
     target = share * total
     steps: list[np.ndarray] = []
-    reached = now
+    reached = now * max(1.0, least)
     for _ in range(STEPS):
         if np.abs(reached - target).max(initial=0.0) <= tolerance * max(total, 1.0):
             break
         step = np.linalg.lstsq(second, reached - target, rcond=1e-9)[0]
         steps.append(step)
         before = reached
-        sums = table.agg(*(F.sum(mass * F.col("p")[i] * _rate(steps)) for i in k)).first()
+        sums = table.agg(*(F.sum(mass * F.col("p")[i] * _rate(steps, least)) for i in k)).first()
         reached = np.array([x or 0.0 for x in sums])
         if np.abs(reached - before).max() <= 1e-9 * max(total, 1.0):  # a target that no document can serve
             break
@@ -143,17 +151,19 @@ def rated(
     total: float | None = None,
     tolerance: float = 1e-4,
     seed: int = 11,
+    least: float = 0.0,
 ) -> DataFrame:
     """One row per distinct document: _id, _none, _h, rows, tokens, p, rate, copies.
 
+    No rate is below `least`; with 1 every document is kept, also one that gains nothing from the targets.
     `copies` rounds the rate up or down by a hash of id, text and seed, so that its expectation is the rate.
     """
     domains = sorted(targets)
     model, prior, size = classifier(docs, labels, domains, domain)
     table = checkpointed(posteriors(docs, model, prior, size))
-    steps = fit_rates(table, [targets[d] for d in domains], total, tolerance)
+    steps = fit_rates(table, [targets[d] for d in domains], total, tolerance, least)
     chance = F.pmod(F.xxhash64("_id", "_none", "_h", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-    return table.withColumn("rate", _rate(steps)).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
+    return table.withColumn("rate", _rate(steps, least)).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], **options) -> DataFrame:

@@ -48,7 +48,7 @@ TARGETS = {"en": 0.55, "fr": 0.17, "de": 0.16, "es": 0.12}
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), TARGETS)
+    return mixing.rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), TARGETS, least=1.0)
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mixed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), queries.TARGETS)
+    return mixing.mixed(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), queries.TARGETS, least=1.0)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ import random
 import numpy as np
 import pytest
 
-from balcao.llm import mixing
+import corpus_pipeline
+from balcao.llm import mixing, queries
 
 WORDS = {"en": ["the", "and", "of", "to"], "fr": ["le", "et", "de", "un"], "de": ["der", "und", "von", "ein"]}
 TARGETS = {"en": 0.4, "fr": 0.3, "de": 0.3}
@@ -112,3 +113,24 @@ def test_large_word_table_gives_the_same(tabled, tables, monkeypatch):
             large = mixing.rates(docs, labels, TARGETS).toPandas().sort_values(["doc_id", *columns])
         assert (small["tokens"].to_numpy() == large["tokens"].to_numpy()).all()
         assert np.allclose(small[[*columns, "rate"]], large[[*columns, "rate"]])
+
+
+def test_every_document_is_kept(spark, tmp_path):
+    """Short texts of overlapping languages: the registered query and the pipeline drop none of them."""
+    rng = random.Random(2)
+    own = {"en": WORDS["en"], "fr": WORDS["fr"], "de": WORDS["de"], "es": ["el", "y", "de", "un"]}
+    rows = []
+    for i in range(20_000):
+        lang = rng.choices(list(own), [6, 2, 1, 1])[0]
+        rows.append((i, " ".join(rng.choice(own[lang]) for _ in range(rng.randrange(1, 8))), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(0, 20_000, 4).withColumnRenamed("id", "doc_id").write.parquet(f"{tmp_path}/labels.parquet")
+    found = queries.op6_mixing(spark, str(tmp_path)).toPandas()
+    assert found["rate"].min() >= 1 and found["copies"].min() == 1
+    mass = found[[f"p_{d}" for d in sorted(queries.TARGETS)]].to_numpy() * found["tokens"].to_numpy()[:, None]
+    reached = mass.T @ found["rate"].to_numpy()
+    assert np.allclose(reached / reached.sum(), [queries.TARGETS[d] for d in sorted(queries.TARGETS)], atol=2e-4)
+    kept = corpus_pipeline.mixture(spark, docs, str(tmp_path))
+    assert kept.count() == found["copies"].sum()
+    assert kept.select("doc_id").distinct().count() == len(rows)
