@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -106,9 +106,14 @@ class Kind:
     length: int
     lead: int
     classes: tuple[int, int]  # widths of the narrower classes
-    crowds: int  # times CROWD, strings of a key up to which the wider of them holds
+    crowds: int  # times `crowd`, strings of a key up to which the wider of them holds
     block: int  # windows that a task judges at one time
     read: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray, Pack]]
+    crowd: int = field(default_factory=lambda: CROWD)  # set where the query is built, so that tasks get it
+
+    def widths(self, times: np.ndarray) -> np.ndarray:
+        """Widths of the classes for minimisers whose keys have so many different strings."""
+        return np.where(times <= self.crowd, self.lead, np.where(times <= self.crowd * self.crowds, *self.classes))
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
@@ -183,7 +188,7 @@ def _classed(hits: pa.ListArray, kind: Kind, data: np.ndarray, bounds: np.ndarra
     common = _common_key(kind, sums, found)[hit]
     far = anchor - found.start[hit]
     near = far - found.count[hit] + 1
-    width = np.where(times <= CROWD, kind.lead, np.where(times <= CROWD * kind.crowds, *kind.classes))
+    width = kind.widths(times)
     count = far // width - near // width + 1
     run = np.repeat(np.arange(len(hit)), count)
     which = (far // width)[run] - (np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count))

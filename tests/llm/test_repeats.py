@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import replace
 
+import numpy as np
 import pytest
 
 from balcao.llm import repeats, suffix_dedup, superkmer_dedup
@@ -76,3 +78,36 @@ def test_crowded_keys_are_dealt_anew(docs, rows, monkeypatch, crowd):
 def test_empty_table(empty):
     assert superkmer_dedup.removed(empty).count() == 0
     assert suffix_dedup.removed(empty).count() == 0
+
+
+@pytest.mark.parametrize(
+    "operator,window,split,join,crowd,total",
+    [
+        (superkmer_dedup, 35, bytes.split, b" ".join, 1, "n_words"),
+        (superkmer_dedup, 35, bytes.split, b" ".join, 0, "n_words"),
+        (suffix_dedup, 100, list, bytes, 1, "n_bytes"),
+        (suffix_dedup, 100, list, bytes, 0, "n_bytes"),
+    ],
+)
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_tasks_deal_crowded_keys_anew(docs, rows, monkeypatch, operator, window, split, join, crowd, total, keep):
+    """Tasks get the limit; more than one class is used, and every one gives the result of brute force."""
+    monkeypatch.setattr(repeats, "CROWD", crowd)
+    built, make = [], operator.kind
+
+    def kind(size):
+        # The wider of the narrow classes holds up to three strings, so that the fixture meets both.
+        built.append(replace(make(size), crowds=3))
+        return built[-1]
+
+    monkeypatch.setattr(operator, "kind", kind)
+    short = [r[:2] for r in rows if len(r[1] or "") < 3000]
+    frame = docs.filter("text IS NULL OR length(text) < 3000")
+    expected = brute(short, window, split, join, keep)
+    assert found(operator.removed(frame, window, keep), total) == expected
+    # The limit as a task sees it, and the classes of the fixture's keys.
+    (used,) = built
+    sent = frame.sparkSession.sparkContext.parallelize([0], 1).map(lambda _: used.crowd).first()
+    assert sent == crowd
+    times = [r["n"] for r in repeats._hits(repeats.distinct_texts(frame), used).selectExpr("inline(hits)").collect()]
+    assert len(set(used.widths(np.array(times)).tolist()) - {used.lead}) >= (2 if crowd else 1)
