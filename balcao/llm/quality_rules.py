@@ -27,6 +27,7 @@ class Limits:
     base_percent: int = 20
     repeat: int = 13
     covered_percent: int = 10
+    covered_words: int = 26  # one sequence of `repeat` words said twice
     longest_percent: int = 5
     longest_words: int = 40
 
@@ -143,7 +144,10 @@ def _measured(rows: DataFrame, limits: Limits) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts], names=["_row", *_COUNTS])
 
     base = (F.col("n_words") < limits.least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * limits.base_percent)
-    repeated = (F.col("n_covered_words") * 100 > F.col("n_words") * limits.covered_percent) | (
+    repeated = (
+        (F.col("n_covered_words") > limits.covered_words)
+        & (F.col("n_covered_words") * 100 > F.col("n_words") * limits.covered_percent)
+    ) | (
         (F.col("longest_repeat") > limits.longest_words) & (F.col("longest_repeat") * 100 > F.col("n_words") * limits.longest_percent)
     )
     return (
@@ -159,7 +163,7 @@ def assess(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     Counts are taken over whole texts. n_repeat_words counts words in windows of `base_window` words that occur twice
     in the text; n_covered_words the words in the union of all maximal repeats of `repeat` words or more; and
     longest_repeat is the longest of them. A text that passes the base rules is rejected when its repeats cover more
-    than `covered_percent` of it, or when the longest is over `longest_words` and over `longest_percent` of it.
+    than `covered_percent` of it and more than `covered_words` words, or when the longest is over `longest_words` and over `longest_percent` of it.
 
     Null, empty and white-space texts have no words: all counts but n_symbols are 0 and the base rules fail. Repeated
     rows and null ids are judged row by row. A text is held by one task as a whole. Other columns are not read.

@@ -58,6 +58,15 @@ def test_a_long_repeat_is_rejected_and_clean_text_kept(spark):
     assert [r["doc_id"] for r in quality_rules.filtered(frame).collect()] == [1]
 
 
+def test_one_short_sequence_said_twice_is_kept(spark):
+    own = [f"w{i}" for i in range(250)]
+    once = own[:152] + own[:13]
+    twice = own[:211] + own[:13] + own[:13] + own[211:224]
+    frame = spark.createDataFrame([(1, " ".join(once)), (2, " ".join(twice))], "doc_id long, text string")
+    found = {r["doc_id"]: (r["n_words"], r["n_covered_words"], r["base_failed"], r["kept"]) for r in quality_rules.assess(frame).collect()}
+    assert found == {1: (165, 26, False, True), 2: (250, 39, False, False)}
+
+
 def test_filter_hands_on_all_columns(docs):
     kept = quality_rules.filtered(docs)
     assert kept.dtypes == docs.dtypes
