@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 from balcao.functions.numbers import ratio, rounded
 from balcao.functions.text import locale_order
 from balcao.operators.baskets import best_partners, ranked_partners
+from balcao.session import ensure_checkpoint_dir
 
 TOP = 5
 # A cart of c products hides at most c - 1 partners of one of them, so the first
 # TOP + c - 1 partners are enough: PREFIX of them serve carts of PREFIX - TOP + 1.
 PREFIX = 32
+# Catalogue products of a gap that are held as one list.
+GAP = 4096
 # Float noise of a product over the origins must not decide an order.
 SCORE_DIGITS = 9
 
@@ -140,24 +143,78 @@ def client_consumption(history: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(catalogue: DataFrame) -> DataFrame:
+    """(produto_id, produto_nome, lugar): places 0, 1, ... in Portuguese order, without a task that holds all products."""
+    ensure_checkpoint_dir(catalogue.sparkSession, local_fallback=True)
+    # Stored, so that both readers below see the same partitions.
+    ordered = (
+        catalogue.select("produto_id", "produto_nome")
+        .orderBy(locale_order(F.col("produto_nome")), "produto_id")
+        .withColumn("_n", F.monotonically_increasing_id())
+        .withColumn("_parte", F.shiftright("_n", 33))
+        .checkpoint(eager=True)
+    )
+    before = Window.orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ordered.groupBy("_parte").agg(F.count(F.lit(1)).alias("_linhas"))
+    starts = sizes.select("_parte", F.coalesce(F.sum("_linhas").over(before), F.lit(0)).alias("_inicio"))
+    place = F.col("_inicio") + F.col("_n") - F.shiftleft("_parte", 33)
+    return ordered.join(starts, "_parte").select("produto_id", "produto_nome", place.alias("lugar"))
+
+
 def ranked_catalogue(catalogue: DataFrame, consumption: DataFrame, clients: DataFrame) -> DataFrame:
     """The whole catalogue for each requested customer: bought products first, most units first, then by name.
 
-    `clients` has cliente_id. Each of them has one row per catalogue product, by definition; their rows are numbered
-    in a sort of that size.
+    `clients` has cliente_id, and each of them gets one row per catalogue product, by definition. `consumption` has one
+    row per customer and product. Only products with units are numbered by customer; the others lie in the gaps between
+    those in the one order of the catalogue, and a gap's places follow from its ends.
     """
-    wanted = clients.select("cliente_id").distinct()
-    places = wanted.agg(F.collect_set("cliente_id").alias("todos"))
-    shelf = catalogue.select("produto_id", "produto_nome").withColumn("cliente_id", F.explode(places.scalar()))
-    bought = consumption.join(wanted, "cliente_id", "left_semi")
-    order = Window.partitionBy("cliente_id").orderBy(
-        F.desc("quantidade_total"), locale_order(F.col("produto_nome")), "produto_id"
+    shelf = _numbered(catalogue)
+    wanted = clients.select("cliente_id").filter("cliente_id IS NOT NULL").distinct()
+    units = consumption.withColumn("quantidade_total", F.coalesce("quantidade_total", F.lit(0)))
+    bought = (
+        units.filter("quantidade_total != 0")
+        .join(wanted, "cliente_id", "left_semi")
+        .join(shelf, "produto_id")
+        .select("cliente_id", "produto_id", "produto_nome", "quantidade_total", "lugar")
     )
-    return (
-        shelf.join(bought, ["cliente_id", "produto_id"], "left")
-        .withColumn("quantidade_total", F.coalesce("quantidade_total", F.lit(0)))
-        .withColumn("posicao", F.row_number().over(order))
+    size = shelf.agg(F.count(F.lit(1)).alias("tamanho"))
+    own = Window.partitionBy("cliente_id")
+    first = Window.partitionBy("cliente_id").orderBy(F.desc("quantidade_total"), "lugar")
+    # Less than no units comes behind those with none.
+    number = F.row_number().over(first) + F.when(
+        F.col("quantidade_total") < 0, F.col("tamanho") - F.count(F.lit(1)).over(own)
+    ).otherwise(0)
+    columns = ["cliente_id", "produto_id", "produto_nome", "quantidade_total"]
+    numbered = bought.crossJoin(size).select(*columns, number.cast("int").alias("posicao"))
+
+    # A customer's own gap begins the catalogue; each product with units begins another.
+    edges = bought.select("cliente_id", "lugar", "quantidade_total").unionByName(
+        wanted.select("cliente_id", F.lit(-1).cast("long").alias("lugar"), F.lit(None).alias("quantidade_total"))
+    )
+    along = Window.partitionBy("cliente_id").orderBy("lugar")
+    gaps = edges.crossJoin(size).select(
+        "cliente_id",
+        (F.col("lugar") + 1).alias("de"),
+        (F.lead("lugar").over(along)).alias("_proximo"),
+        "tamanho",
+        # Places in the gap: those with more units come first, and products with units before it leave a place free.
+        (F.count_if(F.col("quantidade_total") > 0).over(own) - F.row_number().over(along) + 2).alias("desloca"),
+    )
+    gaps = gaps.withColumn("ate", F.coalesce("_proximo", "tamanho") - 1).filter("de <= ate")
+    pieces = gaps.withColumn("de", F.explode(F.sequence("de", "ate", F.lit(GAP).cast("long")))).select(
+        "cliente_id",
+        "desloca",
+        F.explode(F.sequence("de", F.least(F.col("ate"), F.col("de") + GAP - 1))).alias("lugar"),
+    )
+    kind = numbered.schema["quantidade_total"].dataType
+    rest = pieces.join(shelf, "lugar").select(
+        "cliente_id",
+        "produto_id",
+        "produto_nome",
+        F.lit(0).cast(kind).alias("quantidade_total"),
+        (F.col("lugar") + F.col("desloca")).cast("int").alias("posicao"),
     )
+    return numbered.unionByName(rest)
 
 
 def alphabetical_catalogue(catalogue: DataFrame) -> DataFrame:

@@ -146,3 +146,25 @@ def test_catalogue_of_a_client(spark):
     many = spark.range(300).selectExpr("cast(id AS string) AS cliente_id")
     assert carts.ranked_catalogue(catalogue, bought, many).count() == 1200
     assert carts.ranked_catalogue(catalogue, bought, many.limit(0)).count() == 0
+
+
+def test_catalogue_of_many_clients(spark, monkeypatch):
+    """As the sort of every customer's catalogue gives it, without all customers in one value."""
+    monkeypatch.setattr(carts, "GAP", 3, raising=False)
+    names = {i: f"{'aáAzç'[i % 5]}{i // 10}" for i in range(40)}
+    units = {(str(c), p): (c * p * 7) % 5 - 1 for c in range(30) for p in range(40) if (c + p * p) % 3 == 0 and c}
+    units |= {("29", p): 2 for p in range(40)}
+    catalogue = spark.createDataFrame(list(names.items()), "produto_id long, produto_nome string").repartition(4)
+    bought = [(c, p, n) for (c, p), n in units.items()] + [("1", 99, 8), ("other", 1, 8)]
+    bought = spark.createDataFrame(bought, "cliente_id string, produto_id long, quantidade_total long")
+    wanted = spark.createDataFrame([(str(c),) for c in range(30)] + [("3",), (None,)], "cliente_id string")
+    out = carts.ranked_catalogue(catalogue, bought, wanted)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "scalar-subquery" not in plan
+    alphabet = [r.produto_id for r in carts.alphabetical_catalogue(catalogue).collect()]
+    expected = set()
+    for c in map(str, range(30)):
+        order = sorted(alphabet, key=lambda p: (-units.get((c, p), 0), alphabet.index(p)))
+        expected |= {(c, p, names[p], units.get((c, p), 0), i + 1) for i, p in enumerate(order)}
+    rows = [tuple(r) for r in out.collect()]
+    assert len(rows) == 1200 and set(rows) == expected
