@@ -1,4 +1,4 @@
-"""Exact duplicates by sorting the texts themselves."""
+"""Exact duplicates by sorting salted texts; the runs of a text meet by its SHA-256, which decides the groups."""
 
 from __future__ import annotations
 
@@ -23,7 +23,8 @@ def _sorted_runs(docs: DataFrame, carried: list[Column], normalise: str, keep: s
     Sampled splitters range-partition the rows by the head of the normalised text and a salt, Spark's external sort
     puts equal texts side by side, and the window compares each text in full with its neighbour. Only heads reach the
     driver as samples, HEAD characters each. The salt, taken from the id, lets a group of copies with a third of all
-    rows, or of texts that begin alike, spread over many partitions; a run is one text and salt.
+    rows, or of texts that begin alike, spread over many partitions; a run is one text and salt. Every row has a salt, so
+    most copies of a text are in different runs, and the digests decide that these are equal.
     """
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep is smallest or largest, not {keep}")
