@@ -1,4 +1,4 @@
-"""Removal of byte strings that occur more than once, by longest previous factors."""
+"""Removal of byte strings that occur more than once, by groups of equal windows in suffix order."""
 
 from __future__ import annotations
 
@@ -68,7 +68,7 @@ class _Least:
 
 def _judge(window: int):
     def judge(bucket: np.ndarray, packed: list[bytes], far: np.ndarray, count: np.ndarray, rank: np.ndarray):
-        """Longest previous factors within the buckets, up to the window's length.
+        """Equal windows within the buckets; they replace longest previous factors, which are not computed.
 
         The strings of a bucket agree around their minimiser, so windows can only be equal at the same distance from
         it. For each distance the windows are put in suffix order: those that share the bytes before the minimiser are
