@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from balcao.llm import exact_dedup, mixing, packing, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, superkmer_dedup, url_filter
+from balcao.llm import (
+    exact_dedup,
+    lloyd,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    superkmer_dedup,
+    url_filter,
+)
 from balcao.session import tune
 
 
@@ -68,6 +80,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.clustered(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, salt="3")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +97,7 @@ QUERIES = {
         op8_exact_dedup,
         op9_packing,
         op10_sharding,
+        op13_centroid_clustering,
     )
 }
 
@@ -99,6 +116,47 @@ _PATTERNS = " ".join(
     )
 )
 
+
+
+def _clustering_sql(k: int, rounds: int, dims: int, scale: int, salt: str) -> str:
+    """The rounds of Lloyd one after the other, a few common table expressions each."""
+    steps = [
+        f"""v AS MATERIALIZED (
+            SELECT row_number() OVER () AS n, vec_id, [floor({scale} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE len(embedding) = {dims} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {dims}
+        ), parts AS MATERIALIZED (SELECT n, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM v
+        ), s AS (
+            SELECT n, row_number() OVER (ORDER BY sha256('{salt}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS c FROM v
+        ), c0 AS MATERIALIZED (SELECT c, d, x FROM s JOIN parts USING (n) WHERE c < {k})"""
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""a{i} AS MATERIALIZED (
+            SELECT n, arg_min(c, struct_pack(dist := dist, c := c)) AS c, min(dist) AS dist
+            FROM (SELECT n, c, sum((p.x - c{i}.x) * (p.x - c{i}.x)) AS dist FROM parts p JOIN c{i} USING (d) GROUP BY n, c)
+            GROUP BY n
+        )"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""c{i + 1} AS MATERIALIZED (
+            SELECT c, d, coalesce((total - ((total % times) + times) % times) // times, old.x)::BIGINT AS x
+            FROM c{i} old LEFT JOIN (
+                SELECT c, d, sum(x)::HUGEINT AS total, count(*) AS times FROM a{i} JOIN parts USING (n) GROUP BY c, d
+            ) USING (c, d)
+        )"""
+            )
+    return f"""
+        WITH {", ".join(steps)}, digests AS (
+            SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c
+        )
+        SELECT vec_id, c::INTEGER AS cluster, dist::BIGINT AS distance, (sum(dist) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+               (sum(dist) OVER ())::BIGINT AS inertia, centroid_sha256
+        FROM a{rounds} JOIN v USING (n) JOIN digests USING (c)
+    """
+
+
 ORACLES = {
     "op2_url_filters": rf"""
         WITH cut AS (
@@ -130,4 +188,5 @@ ORACLES = {
                doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
     """,
+    "op13_centroid_clustering": _clustering_sql(8, 10, 64, 1024, "3"),
 }
