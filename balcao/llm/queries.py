@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from balcao.llm import (
+    divergence,
     exact_dedup,
     lloyd,
     mixing,
@@ -80,6 +81,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), least=3, top=200)
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.clustered(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, salt="3")
 
@@ -97,6 +102,7 @@ QUERIES = {
         op8_exact_dedup,
         op9_packing,
         op10_sharding,
+        op11_source_divergence,
         op13_centroid_clustering,
     )
 }
@@ -188,5 +194,39 @@ ORACLES = {
                doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW t AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_source_divergence": r"""
+        WITH rows AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), groups AS (SELECT DISTINCT lang, source FROM rows
+        ), said AS MATERIALIZED (SELECT r, lang, source, unnest(terms) AS term FROM rows
+        ), kept AS MATERIALIZED (
+            SELECT lang, term, count(*) AS n FROM said GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+        ), counts AS MATERIALIZED (
+            SELECT lang, source, term, count(*)::HUGEINT AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+        ), sizes AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang
+        ), totals AS (
+            SELECT lang, source, coalesce((SELECT sum(n) FROM counts c WHERE c.lang = g.lang AND c.source = g.source), 0)::HUGEINT AS total
+            FROM groups g
+        ), p AS MATERIALIZED (
+            SELECT k.lang, t.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (t.total + s.v) AS p,
+                   1 + 1000000000::HUGEINT * (k.n + 1) // (s.total + s.v) AS whole
+            FROM kept k JOIN sizes s USING (lang) JOIN totals t USING (lang) LEFT JOIN counts c ON c.lang = k.lang AND c.source = t.source AND c.term = k.term
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(max(f.value), 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (
+                SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+                FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+            ) f ON f.lang = a.lang AND f.source = a.source AND f.other = b.source
+            GROUP BY ALL
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - whole) * (p - whole) // whole)::BIGINT FROM p WHERE n > 0 AND p > whole
+        )
+        SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+        FROM found QUALIFY part = 'pair' OR rank <= 200
+    """,
     "op13_centroid_clustering": _clustering_sql(8, 10, 64, 1024, "3"),
 }
