@@ -11,6 +11,7 @@ from balcao.llm import (
     lloyd,
     mixing,
     packing,
+    pii,
     quality_classifier,
     quality_rules,
     sharding,
@@ -85,6 +86,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"), least=3, top=200)
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.printed(pii.spans(_table(spark, sf_dir, "documents")))
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.clustered(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, salt="3")
 
@@ -103,6 +108,7 @@ QUERIES = {
         op9_packing,
         op10_sharding,
         op11_source_divergence,
+        op12_pii,
         op13_centroid_clustering,
     )
 }
