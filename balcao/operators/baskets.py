@@ -77,18 +77,18 @@ def directed_pairs(items: DataFrame, header: DataFrame, columns: list[str], bloc
     return ordinary.unionByName(_tiles(items, oversized, header, block, member)).filter(different)
 
 
-def undirected_pairs(items: DataFrame, header: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(total, x, y) with x < y: half of the directed pairs, enough for counting."""
+def undirected_pairs(items: DataFrame, header: DataFrame, block: int = BLOCK, by: tuple[str, ...] = ()) -> DataFrame:
+    """(total, x, y) with x < y: half of the directed pairs, enough for counting; with the order's columns `by`."""
     oversized = _oversized(items, block)
     product = F.col("product_id")
     ordinary = (
         _folded(items, oversized, header, product)
-        .select("total", F.sort_array("itens").alias("itens"))
-        .select("total", "itens", F.posexplode("itens").alias("i", "x"))
-        .select("total", "x", F.explode(F.slice("itens", F.col("i") + 2, F.col("total").cast("int"))).alias("y"))
+        .select(*by, "total", F.sort_array("itens").alias("itens"))
+        .select(*by, "total", "itens", F.posexplode("itens").alias("i", "x"))
+        .select(*by, "total", "x", F.explode(F.slice("itens", F.col("i") + 2, F.col("total").cast("int"))).alias("y"))
     )
     tiled = _tiles(items, oversized, header, block, product).filter(F.col("x") < F.col("y"))
-    return ordinary.unionByName(tiled.select("total", "x", "y"))
+    return ordinary.unionByName(tiled.select(*by, "total", "x", "y"))
 
 
 def items_with_company(orders: DataFrame, details: DataFrame, products: DataFrame) -> DataFrame:
@@ -100,12 +100,24 @@ def items_with_company(orders: DataFrame, details: DataFrame, products: DataFram
     return items.join(sizes, "order_id").join(header, "order_id").select("ano_mes", "produto_x", others.alias("outros"))
 
 
-def orders_per_product(items: DataFrame, header: DataFrame, block: int = BLOCK) -> DataFrame:
+def orders_per_product(items: DataFrame, header: DataFrame, block: int = BLOCK, by: tuple[str, ...] = ()) -> DataFrame:
     """Orders each product is in, unfolded from the same arrays the pairs come from."""
     oversized = _oversized(items, block)
-    ordinary = _folded(items, oversized, header, F.col("product_id")).select(F.explode("itens").alias("produto_x"))
-    large = items.join(oversized.join(header, "order_id"), "order_id").select(F.col("product_id").alias("produto_x"))
-    return ordinary.unionAll(large).groupBy("produto_x").agg(F.count(F.lit(1)).alias("pedidos_com_x"))
+    ordinary = _folded(items, oversized, header, F.col("product_id")).select(*by, F.explode("itens").alias("produto_x"))
+    large = items.join(oversized.join(header, "order_id"), "order_id").select(*by, F.col("product_id").alias("produto_x"))
+    return ordinary.unionAll(large).groupBy(*by, "produto_x").agg(F.count(F.lit(1)).alias("pedidos_com_x"))
+
+
+def couple_counts(items: DataFrame, header: DataFrame, block: int = BLOCK, by: tuple[str, ...] = ()) -> DataFrame:
+    """Orders with both products of each couple x < y, and those among them with others too."""
+    return (
+        undirected_pairs(items, header, block, by)
+        .groupBy(*by, "x", "y")
+        .agg(
+            F.count(F.lit(1)).alias("pedidos_com_x_e_y"),
+            F.sum((F.col("total") > 2).cast("int")).alias("pedidos_com_outros"),
+        )
+    )
 
 
 def produtos_associados(
@@ -144,14 +156,11 @@ def association_stats(
     The join on X comes last: the ranking per X then finds its rows in place.
     """
     items, header = basket_items(details, products), orders.select("order_id")
-    couples = (
-        undirected_pairs(items, header, block)
-        .groupBy("x", "y")
-        .agg(
-            F.count(F.lit(1)).alias("pedidos_com_x_e_y"),
-            F.sum((F.col("total") > 2).cast("int")).alias("pedidos_com_outros"),
-        )
-    )
+    return shares(couple_counts(items, header, block), orders_per_product(items, header, block), products)
+
+
+def shares(couples: DataFrame, orders_with: DataFrame, products: DataFrame) -> DataFrame:
+    """The statistics of each X -> Y from the counts of couples and products."""
     both_ways = F.array(
         F.struct(F.col("x").alias("produto_x"), F.col("y").alias("produto_y")),
         F.struct(F.col("y").alias("produto_x"), F.col("x").alias("produto_y")),
@@ -163,7 +172,7 @@ def association_stats(
     together, n = F.col("pedidos_com_x_e_y"), F.col("pedidos_com_x")
     return (
         mirrored.join(names, "produto_y")
-        .join(orders_per_product(items, header, block), "produto_x")
+        .join(orders_with, "produto_x")
         .select(
             "produto_x", "produto_y", "nome_y", "pedidos_com_x", "pedidos_com_x_e_y",
             "pedidos_com_outros",

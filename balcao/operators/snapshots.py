@@ -224,11 +224,13 @@ def historico_cliente_metricas(
     """Snapshot rows of every eligible customer for every month of `span`."""
     reach = months_in_reach(orders, details, span or full_range(orders))
     sums = reach.groupBy("cliente_id", "mes_idx").agg(*[c for name in BANDS for c in _sums(name)])
+    return from_sums(sums.withColumn("ano_mes", M.key_of_index(F.col("mes_idx"))), customers)
+
+
+def from_sums(sums: DataFrame, customers: DataFrame) -> DataFrame:
+    """Snapshot rows of registered customers from the totals of their bands."""
     return sums.join(company_names(customers), "cliente_id").select(
-        M.key_of_index(F.col("mes_idx")).alias("ano_mes"),
-        "cliente_id",
-        "nome_empresa",
-        *[c for name in BANDS for c in _metrics(name)],
+        "ano_mes", "cliente_id", "nome_empresa", *[c for name in BANDS for c in _metrics(name)]
     )
 
 

@@ -16,6 +16,7 @@ from balcao.functions.numbers import rounded
 from balcao.operators import (
     actions, baskets, carts, controls, gold, offers, quality, search, snapshots, status,
 )
+from balcao.plans import stored
 from balcao.plans.model import Model
 from balcao.session import tune
 from balcao.sources.readers import query
@@ -181,6 +182,16 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "acoes_base": lambda m: m.acoes,
     "acoes_score": lambda m: m.acoes_pontuadas,
     "acoes_ranked": lambda m: actions.ranked(m.acoes_pontuadas),
+    # stored tables, written and read again
+    "metricas_avanco": stored.advanced_snapshots,
+    "assoc_stats_mensal": stored.merged_pairs,
+    "ctl_na_gravacao": stored.figures_of_write,
+    "troca_atomica": stored.replaced_volume,
+    "volume_meses_escolhidos": stored.volume_of_chosen_months,
+    "meses_gravados": stored.stored_months,
+    "ticket_em_baldes": stored.ticket_from_buckets,
+    "busca_indice": stored.many_searches,
+    "bronze_quarentena": stored.quarantined_items,
 }
 
 

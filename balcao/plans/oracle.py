@@ -729,6 +729,34 @@ QUERIES = {
                CAST(row_number() OVER (PARTITION BY cliente_id, ano_mes ORDER BY score DESC,
                     a.oferta DESC NULLS LAST, produto_nome, produto_id) AS INTEGER) AS posicao
         FROM acoes_score a""",
+    # stored tables
+    "metricas_avanco": f"SELECT m.* FROM metricas m, cov WHERE m.ano_mes BETWEEN {_key('cov.ultimo - 2')} AND {_key('cov.ultimo')}",
+    "assoc_stats_mensal": f"SELECT {PARTNER} FROM assoc",
+    "ctl_na_gravacao": "SELECT count(*) AS itens, CAST(sum(receita_item) AS DOUBLE) AS receita FROM details JOIN orders_ USING (order_id)",
+    "troca_atomica": """
+        SELECT ano_mes, cliente_id, nome_empresa, CAST(receita_sem_desconto AS DOUBLE) AS receita_sem_desconto,
+               CAST(receita_total AS DOUBLE) AS receita_total, desconto_medio, quantidade_pedidos,
+               quantidade_produtos_distintos, quantidade_itens, count(*) OVER (PARTITION BY ano_mes) AS linhas_apos_falha
+        FROM volume_pct""",
+    "volume_meses_escolhidos": """
+        SELECT ano_mes, cliente_id, nome_empresa, CAST(receita_sem_desconto AS DOUBLE) AS receita_sem_desconto,
+               CAST(receita_total AS DOUBLE) AS receita_total, desconto_medio, quantidade_pedidos,
+               quantidade_produtos_distintos, quantidade_itens
+        FROM volume_pct WHERE ano_mes IN (SELECT arg_max(ano_mes, (ticket_medio, ano_mes)) FROM ticket GROUP BY left(ano_mes, 4))""",
+    "meses_gravados": """
+        SELECT ano_mes, CAST(row_number() OVER (ORDER BY ano_mes DESC) AS INTEGER) AS posicao
+        FROM (SELECT DISTINCT ano_mes FROM volume)""",
+    "ticket_em_baldes": "SELECT * REPLACE (CAST(receita_total AS DOUBLE) AS receita_total) FROM ticket",
+    "busca_indice": """
+        SELECT t.termo, p.produto_id, p.produto_nome, p.categoria_nome
+        FROM produtos p JOIN (VALUES (' RÌNG ', 'ring'), ('stéel', 'steel'), ('Brand#1', 'brand#1'), ('xy', 'xy'), ('k', 'k'),
+                                     ('almond  blue', 'almond  blue')) t(termo, procurado)
+          ON contains(lower(p.produto_nome || ' ' || p.categoria_nome), t.procurado)""",
+    "bronze_quarentena": """
+        SELECT motivo, count(*) AS linhas, CASE WHEN motivo = '' THEN sum(quantity) END::BIGINT AS unidades
+        FROM (SELECT quantity, CASE WHEN order_id % 97 = 0 THEN 'campos' WHEN order_id % 89 = 0 THEN 'quantity' ELSE '' END AS motivo
+              FROM lines)
+        GROUP BY motivo""",
 }
 
 

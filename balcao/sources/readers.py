@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from balcao.sources.schemas import raw_schema
+from balcao.sources.schemas import BRONZE, SILVER, raw_schema
 
 
 def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
@@ -19,6 +19,35 @@ def read_raw(spark: SparkSession, table: str, path: str) -> DataFrame:
     )
 
 
+BROKEN = "linha_quebrada"
+
+
+def read_raw_split(spark: SparkSession, table: str, path: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The lines that fit, typed, and a quarantine of the others: (motivo, linha).
+
+    A line fits when it has as many fields as the table and every field that is not blank can be read as its declared
+    type; blank fields are NULL. `motivo` is `campos` for a wrong number of fields, else the columns that cannot be
+    read, joined by commas. Each line is in exactly one of the two.
+    """
+    text = raw_schema(table)
+    # With `header` the first line of each file is skipped; the schema, not the header, names the columns.
+    raw = (
+        spark.read.schema(text.add(BROKEN, "string"))
+        .options(header=header, sep=";", enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN)
+        .csv(path)
+    )
+    kinds = {c: SILVER.get(table, {}).get(c, "text") for c in BRONZE[table]}
+    names = {c: "string" if kind in ("text", "string") else kind for c, kind in kinds.items()}
+    value = {c: F.nullif(F.btrim(F.col(c)), F.lit("")) for c in BRONZE[table]}
+    typed = {c: value[c] if kind == "string" else value[c].try_cast(kind) for c, kind in names.items()}
+    unread = F.array(*(F.when(value[c].isNotNull() & typed[c].isNull(), F.lit(c)) for c in BRONZE[table]))
+    reason = F.when(F.col(BROKEN).isNotNull(), F.lit("campos")).otherwise(F.array_join(unread, ","))
+    judged = raw.withColumn("motivo", reason)
+    good = judged.filter("motivo = ''").select(*(x.alias(c) for c, x in typed.items()))
+    line = F.coalesce(BROKEN, F.concat_ws(";", *(F.coalesce(F.col(c), F.lit("")) for c in BRONZE[table])))
+    return good, judged.filter("motivo != ''").select("motivo", line.alias("linha"))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -44,9 +44,13 @@ def replace_months(df: DataFrame, path: str, table: str | None = None, months: l
             df.filter("false").drop("ano_mes").write.mode("overwrite").parquet(f"{path}/ano_mes={month}")
 
 
-def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int) -> None:
-    """Managed table bucketed by its join key: joins on that key need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet").saveAsTable(name)
+def save_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int, path: str | None = None) -> None:
+    """Table bucketed by its join key, in the warehouse or at `path`: joins on that key need no shuffle.
+
+    Rows are brought together by bucket before the write, so each bucket is one sorted file.
+    """
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).format("parquet")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def write_checked(

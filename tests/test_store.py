@@ -1,0 +1,193 @@
+"""Stored tables: replacing months, carrying snapshots on, merged counts, search index, broken lines."""
+
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from balcao.functions import months as M
+from balcao.operators import baskets, monthly, search, snapshots
+from balcao.plans import stored
+from balcao.plans.model import Model
+from balcao.sources import readers
+from balcao.sources.store import MonthlyTable
+
+SCHEMA = "cliente_id string, n bigint, ano_mes string"
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def _read(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return MonthlyTable(spark, str(tmp_path / "t"), SCHEMA, {"soma": F.sum("n")})
+
+
+# ── replacing months ──────────────────────────────────────────
+
+
+def test_months_are_replaced_one_by_one(spark, table):
+    assert table.months() == [] and table.read().count() == 0 and table.read().columns == ["cliente_id", "n", "ano_mes"]
+    assert table.replace(_rows(spark, ("A", 1, "1997-04"), ("B", 2, "1997-05"))) == {"linhas": 2, "soma": 3}
+    files = {p: p.read_bytes() for p in Path(table.path).rglob("ano_mes=1997-05/*.parquet")}
+    assert table.replace(_rows(spark, ("C", 5, "1997-04")), ["1997-04"]) == {"linhas": 1, "soma": 5}
+    assert _read(table.read()) == [("B", 2, "1997-05"), ("C", 5, "1997-04")]
+    assert files and all(p.read_bytes() == data for p, data in files.items())
+    table.replace(_rows(spark).limit(0), ["1997-05"])  # a named month may become empty
+    assert table.months() == ["1997-04"] and _read(table.read()) == [("C", 5, "1997-04")]
+    table.replace(_rows(spark, ("D", 1, "1997-05")))
+    assert table.months() == ["1997-04", "1997-05"]
+
+
+def test_rows_of_other_months_are_refused(spark, table):
+    table.replace(_rows(spark, ("A", 1, "1997-04")))
+    with pytest.raises(ValueError, match="1997-06"):
+        table.replace(_rows(spark, ("A", 2, "1997-04"), ("A", 2, "1997-06")), ["1997-04"])
+    assert _read(table.read()) == [("A", 1, "1997-04")]
+
+
+def test_a_write_that_fails_midway_is_never_seen(spark, table):
+    table.replace(_rows(spark, ("A", 1, "1997-04"), ("B", 1, "1997-05")))
+    broken = F.when(F.col("cliente_id") == "B", F.raise_error(F.lit("midway"))).otherwise(F.col("n") + 1)
+    with pytest.raises(Exception, match="midway"):
+        table.replace(table.read().withColumn("n", broken.cast("bigint")))
+    assert _read(table.read()) == [("A", 1, "1997-04"), ("B", 1, "1997-05")]
+    reader = table.read()  # who began to read before a replacement goes on with the old rows
+    table.replace(table.read().withColumn("n", F.col("n") + 1))
+    assert _read(reader) == [("A", 1, "1997-04"), ("B", 1, "1997-05")]
+    assert _read(table.read()) == [("A", 2, "1997-04"), ("B", 2, "1997-05")]
+
+
+def test_other_months_stay_closed(spark, table, tmp_path):
+    table.replace(_rows(spark, ("A", 1, "1997-04"), ("B", 1, "1997-05")))
+    spark.createDataFrame([("1997-04",), (None,), ("all",)], "ano_mes string").write.parquet(str(tmp_path / "months"))
+    chosen = stored.in_months(table.read(), spark.read.parquet(str(tmp_path / "months")))
+    assert "dynamicpruning" in _plan(chosen)
+    for file in Path(table.path).rglob("ano_mes=1997-05/*.parquet"):
+        file.write_bytes(b"broken")
+    assert _read(chosen.select("cliente_id", "n", "ano_mes")) == _read(table.read(["1997-04"])) == [("A", 1, "1997-04")]
+    assert table.months() == ["1997-04", "1997-05"]
+
+
+def test_figures_come_from_the_write(spark, table):
+    seen = spark.sparkContext.accumulator(0)
+
+    def once(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("cliente_id"), F.col("id").alias("n"), F.lit("1997-04").alias("ano_mes"))
+    assert table.replace(rows.mapInArrow(once, SCHEMA)) == {"linhas": 1000, "soma": 499500}
+    assert seen.value == 1000  # one pass
+
+
+# ── months carried on ─────────────────────────────────────────
+
+
+@pytest.fixture
+def sales(make_sales):
+    """Two years; customers who come late, pause for months, buy nothing, or place half of all orders."""
+    rng = random.Random(2)
+    orders, items = {}, []
+    for o in range(1, 260):
+        client = "HOT" if o % 2 else f"C{rng.randrange(9)}"
+        month = rng.randrange(24) if client != "C8" else 23
+        orders[o] = (client, f"{1996 + month // 12}-{month % 12 + 1:02d}-{rng.randrange(1, 29):02d}")
+        if client != "C7":
+            items += [(o, p, rng.randrange(1, 90) / 4, rng.randrange(1, 9), rng.choice([0, 0.1, 0.25])) for p in rng.sample(range(1, 12), rng.randrange(1, 5))]
+    orders[900], orders[901] = ("HOT", "1996-01-01"), ("HOT", "1997-12-31")
+    return make_sales(orders, items)
+
+
+def test_advanced_states_equal_the_full_run(spark, sales, tmp_path):
+    orders, details, customers, _ = sales
+    full = snapshots.historico_cliente_metricas(orders, details, customers)
+    first = M.index_of_day(snapshots.M.parse_day("1996-09-30"))
+    stock = monthly.Sales(spark, str(tmp_path))
+    kept = monthly.Snapshots(stock)
+    stock.replace(orders.filter("order_date < '1996-10-01'"), details)
+    kept.add_months()
+    kept.begin(first)
+    with pytest.raises(ValueError, match="1996-10"):
+        kept.advance()
+    for index in range(first + 1, first + 6):
+        month = M.key_at(index)
+        stock.replace(orders, details, [month])
+        # The items of all other months may be gone: they are not read again.
+        for file in Path(stock.items.path).rglob("*.parquet"):
+            if "/data/" in str(file) and f"ano_mes={month}" not in str(file):
+                file.write_bytes(b"broken")
+        assert kept.advance() == month
+    months = [M.key_at(i) for i in range(first, first + 6)]
+    assert kept.states.months() == months
+    columns = full.columns
+    assert _read(kept.rows(customers).select(*columns)) == _read(full.filter(F.col("ano_mes").isin(months)))
+
+
+def test_merged_pair_counts_equal_a_full_run(spark, sales, tmp_path):
+    orders, details, _, products = sales
+    stock = monthly.Sales(spark, str(tmp_path))
+    stock.replace(orders.filter("order_id % 3 != 0 OR order_date < '1997-03-01'"), details)
+    pairs = monthly.PairCounts(stock)
+    pairs.count(products)
+    changed = [f"1997-{m:02d}" for m in range(3, 13)]
+    stock.replace(orders, details, changed)
+    for file in Path(stock.items.path).rglob("*.parquet"):
+        if "/data/" in str(file) and not any(f"ano_mes={m}" in str(file) for m in changed):
+            file.write_bytes(b"broken")
+    pairs.count(products, changed)
+    full = baskets.association_stats(orders, details, products)
+    assert _read(pairs.stats(products).select(*full.columns)) == _read(full)
+    one = baskets.association_stats(orders.filter("order_date >= '1997-12-01'"), details, products)
+    assert _read(pairs.stats(products, ["1997-12"]).select(*full.columns)) == _read(one)
+
+
+def test_bucketed_sales_meet_without_a_shuffle(spark):
+    orders, details = stored.bucketed_sales(Model(spark, "/root/testdata/sf0.001"), 4)
+    joined = details.hint("merge").join(orders, "order_id").groupBy("order_id").agg(F.sum("receita_item"))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+# ── search index ──────────────────────────────────────────────
+
+
+def test_index_equals_the_scan(spark):
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abÁç ") for _ in range(rng.randrange(0, 12))) for _ in range(300)] + [None, "", "aaa", "São João", "x" * 300]
+    rows = spark.createDataFrame([(i, n, None, "Marca" if i % 2 else None) for i, n in enumerate(names)], "produto_id long, produto_nome string, categoria_nome string, fornecedor_nome string")
+    terms = ["a", "ab", "ABA", "aç", " ba ", "marca", "zzz", "sao jo", "", "  ", None, "x" * 30, "a b", "b a"]
+    columns = ("produto_nome", "categoria_nome", "fornecedor_nome")
+    index = search.SubstringIndex.build(rows, "produto_id", *columns)
+    asked = spark.createDataFrame([(t,) for t in terms + ["ab"]], "termo string")
+    found = {}
+    for r in index.find(asked).collect():
+        found.setdefault(r["termo"], []).append(r["produto_id"])
+    for term in terms:
+        scan = [r[0] for r in search.search_products(rows, term).select("produto_id").collect()] if (term or "").strip() else []
+        assert sorted(found.get(term, [])) == sorted(scan), term
+
+
+# ── lines that do not fit ─────────────────────────────────────
+
+
+def test_broken_lines_go_to_quarantine(spark, tmp_path):
+    lines = ["order_id;product_id;unit_price;quantity;discount", "1;2;3.50;4;0.10", "1;3;;5;", "2;x;1.00;1;0", "3;4;1.00", "4;5;1.00;2;0;9", "5;6;abc;1.5;0", " 6 ;7;2;1;0", ""]
+    (tmp_path / "d.csv").write_text("\n".join(lines) + "\n")
+    good, bad = readers.read_raw_split(spark, "order_details", str(tmp_path / "d.csv"))
+    assert dict(good.dtypes) == {"order_id": "bigint", "product_id": "bigint", "unit_price": "decimal(10,2)", "quantity": "int", "discount": "decimal(4,2)"}
+    assert [(r[0], r[1], r[3]) for r in sorted(good.collect(), key=lambda r: (r[0], r[1]))] == [(1, 2, 4), (1, 3, 5), (6, 7, 1)]
+    assert _read(bad) == [("campos", "3;4;1.00"), ("campos", "4;5;1.00;2;0;9"), ("product_id", "2;x;1.00;1;0"), ("unit_price,quantity", "5;6;abc;1.5;0")]
