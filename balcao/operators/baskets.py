@@ -195,16 +195,12 @@ def ranked_partners(stats: DataFrame) -> DataFrame:
     return stats.withColumn("posicao", F.row_number().over(order))
 
 
-def best_partners(stats: DataFrame, limit: int, parts: int = 16) -> DataFrame:
+def best_partners(stats: DataFrame, limit: int) -> DataFrame:
     """The first `limit` partners of each product.
 
-    They are ranked in parts first: a product that goes with all others sends `limit` rows of each part to the task
-    that ranks it, and is spread over the parts before.
+    The limit on the position lets Spark drop the others in each partition before it shuffles and ranks what is left.
     """
-    part = F.pmod(F.xxhash64("produto_y"), F.lit(parts))
-    order = Window.partitionBy("produto_x", part).orderBy(*_partner_order())
-    first = stats.withColumn("posicao", F.row_number().over(order)).filter(F.col("posicao") <= limit)
-    return ranked_partners(first).filter(F.col("posicao") <= limit)
+    return ranked_partners(stats).filter(F.col("posicao") <= limit)
 
 
 # What the share of orders with only the two products tells.
