@@ -1,8 +1,8 @@
-"""Removal of byte strings that occur more than once, by groups of equal windows in suffix order."""
+"""Removal of byte strings that occur more than once, by longest previous and next factors in suffix order."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ def kind(window: int) -> repeats.Kind:
     if window < GRAM:
         raise ValueError(f"a window has {GRAM} bytes or more")
     lead = max(1, min(window * 3 // 4, window - GRAM + 1))
-    return repeats.Kind(window, lead, (max(1, window // 6), 1), 64, 1 << 20, _read)
+    return repeats.Kind(window, lead, (max(1, window // 6), 1), 2, 1 << 20, _read)
 
 
 def _common(contexts: list[bytes], order: list[int], bucket: list[int]) -> np.ndarray:
@@ -65,17 +65,45 @@ class _Least:
             out[own] = np.minimum(self.rows[k][at[own]], self.rows[k][to[own] - (1 << int(k))])
         return out
 
+    def before(self, limit: np.ndarray) -> np.ndarray:
+        """For each place the nearest one before it whose value is below `limit`; -1 where there is none."""
+        to = np.arange(len(self.rows[0]), dtype=np.int64)
+        for k in range(len(self.rows) - 1, -1, -1):
+            at = to - (1 << k)
+            step = at >= 0
+            step[step] = self.rows[k][at[step]] >= limit[step]
+            to = np.where(step, at, to)
+        return to - 1
+
+
+def _factors(rank: np.ndarray, group: np.ndarray, common: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Longest previous factors of places in suffix order: the longest prefix shared with a place of smaller rank.
+
+    The previous and the next place of smaller rank in suffix order share the most, as common prefixes only shrink with
+    distance. `common` gives the length that two places, left and right, share. -1 where a group has no smaller rank.
+    """
+    n = len(rank)
+    left = _Least(rank).before(rank)
+    right = n - 1 - _Least(rank[::-1]).before(rank[::-1])[::-1]
+    out = np.full(n, -1, dtype=np.int64)
+    here = np.arange(n)
+    for at, to in ((left, here), (here, right)):
+        pair = np.flatnonzero((at >= 0) & (to < n))
+        pair = pair[group[at[pair]] == group[to[pair]]]
+        out[pair] = np.maximum(out[pair], common(at[pair], to[pair]))
+    return out
+
 
 def _judge(window: int):
     def judge(bucket: np.ndarray, packed: list[bytes], far: np.ndarray, count: np.ndarray, rank: np.ndarray):
-        """Equal windows within the buckets; they replace longest previous factors, which are not computed.
+        """Longest previous and next factors of the windows of the buckets, and what follows from them.
 
         The strings of a bucket agree around their minimiser, so windows can only be equal at the same distance from
         it. For each distance the windows are put in suffix order: those that share the bytes before the minimiser are
         a stretch of the order of left contexts, and within it the order of right contexts holds; common prefixes are
-        the least value between two places of it. Windows in one interval of common prefixes of full length are equal.
-        The least place of the interval has no smaller place before or after it in suffix order, so it has no earlier
-        factor of that length; every other window in the interval has one.
+        the least value between two places of it. The longest previous factor of a window is what it shares with the
+        nearest places of smaller rank, before and behind it in suffix order; with ranks turned round, the longest next
+        factor. A window whose previous factor has its whole length occurs earlier; it occurs elsewhere if either has.
         """
         n = len(packed)
         keys = bucket.tolist()
@@ -98,18 +126,19 @@ def _judge(window: int):
             own, group = lefts[here], group[here]
             order = np.argsort(group * n + place[own], kind="stable")
             own, group = own[order], group[order]
-            equal = group[1:] == group[:-1]
-            pair = np.flatnonzero(equal)
-            if not len(pair):
+            same = group[1:] == group[:-1]
+            if not same.any():
                 continue
+            # Only groups of two or more are searched.
+            some = np.append(same, False) | np.append(False, same)
+            own, group = own[some], group[some]
             at = place[own]
-            equal[pair] = common.of(at[pair] + 1, at[pair + 1] + 1) >= window - distance
-            head = np.flatnonzero(np.append(True, ~equal))
-            size = np.diff(np.append(head, len(own)))
-            least = np.minimum.reduceat(rank[own], head)
+            shared_by = lambda i, j: common.of(at[i] + 1, at[j] + 1)  # noqa: B023, E731
+            previous = _factors(rank[own], group, shared_by) >= window - distance
+            following = _factors(-rank[own], group, shared_by) >= window - distance
             flat = base[own] + far[own] - distance
-            other[flat] = np.repeat(size, size) > 1
-            earlier[flat] = rank[own] > np.repeat(least, size)
+            other[flat] = previous | following
+            earlier[flat] = previous
         return other, earlier
 
     return judge
