@@ -17,8 +17,8 @@ BROADCAST_BYTES = 96 << 20
 #: Words whose evidence counts; a longer text is as sure as one of this length.
 EVIDENCE = 40
 STEPS = 40
-#: How many times the total may grow so that the targets are met without a rate below the least one.
-MOST_GROWTH = 2.0
+#: Growths of the total that are tried where no rates linear in the posteriors meet the targets without one below the least.
+GROWTHS = (1, 4, 16)
 _BLANKS = "\t\n\x0b\x0c\r "
 _KEY = ["_id", "_none", "_h"]
 
@@ -104,14 +104,34 @@ def _rate(steps: list[np.ndarray], least: float) -> Column:
     return rate
 
 
-def fit_rates(table: DataFrame, weights: list[float], total: float | None, tolerance: float, least: float = 0.0) -> list[np.ndarray]:
-    """Steps of projected gradient on the squares of expected domain totals less targets.
+def _steps(table: DataFrame, second: np.ndarray, now: np.ndarray, target: np.ndarray, tolerance: float, least: float) -> tuple[list[np.ndarray], bool]:
+    """Steps of projected gradient towards the targets, and whether they are met. `now` are the totals at rates of one."""
+    k = range(len(target))
+    mass = F.col("rows") * F.col("tokens")
+    near = tolerance * max(float(target.sum()), 1.0)
+    steps: list[np.ndarray] = []
+    reached = now * max(1.0, least)
+    for _ in range(STEPS):
+        if np.abs(reached - target).max(initial=0.0) <= near:
+            break
+        steps.append(np.linalg.lstsq(second, reached - target, rcond=1e-9)[0])
+        before = reached
+        sums = table.agg(*(F.sum(mass * F.col("p")[i] * _rate(steps, least)) for i in k)).first()
+        reached = np.array([x or 0.0 for x in sums])
+        if np.abs(reached - before).max() <= 1e-9 * max(float(target.sum()), 1.0):  # no step leads further
+            break
+    return steps, bool(np.abs(reached - target).max(initial=0.0) <= near)
+
+
+def fit_rates(table: DataFrame, weights: list[float], total: float | None, tolerance: float, least: float = 0.0) -> tuple[list[np.ndarray], bool]:
+    """Steps of projected gradient on the squares of expected domain totals less targets, and whether the targets are met.
 
     The gradient is taken in the metric of tokens and scaled by the domains' second moments, so that a rate depends
-    on the posteriors only and one step is exact unless a rate meets zero. Each step is one aggregation of a few sums
-    over all documents. Without `total`, it is the least at which no domain loses tokens; with `least`, the least at
-    which rates that are a mean of the domains' rates, weighted by the posteriors, meet the targets and are all `least`
-    or more. Where that takes over MOST_GROWTH times as many, or no total does, targets are met as near as `least` lets.
+    on the posteriors only and one step is exact unless a rate meets the least one. Each step is one aggregation of a few
+    sums over all documents. Without `total`, it is the least at which no domain loses tokens; with `least`, the least at
+    which rates that are a mean of one rate a domain, weighted by the posteriors, meet the targets and are `least` or more
+    for every document there is. Where there are no such rates, the total grows by GROWTHS until the projected steps meet
+    the targets; `met` is false if none does. Targets outside the span of all posteriors cannot be met at any total, and are met as near as may be.
     """
     k = range(len(weights))
     mass = F.col("rows") * F.col("tokens")
@@ -121,26 +141,23 @@ def fit_rates(table: DataFrame, weights: list[float], total: float | None, toler
     now = np.array([moments[f"b{i}"] or 0.0 for i in k])
     second = np.array([[moments[f"m{i}_{j}"] or 0.0 for j in k] for i in k])
     share = np.array(weights) / sum(weights)
-    if total is None:
-        total = max((x / w for x, w in zip(now, share) if w > 0), default=0.0) * max(1.0, least)
-        # Rates of total * (p . pull) meet the targets; posteriors sum to one, so none is below the least pull's.
-        pull = np.linalg.lstsq(second, share, rcond=1e-9)[0]
-        if least > 0 and pull.min() * total * MOST_GROWTH >= least and np.allclose(second @ pull, share, atol=tolerance):
-            total = max(total, least / pull.min())
-    target = share * total
-    steps: list[np.ndarray] = []
-    reached = now * max(1.0, least)
-    for _ in range(STEPS):
-        if np.abs(reached - target).max(initial=0.0) <= tolerance * max(total, 1.0):
-            break
-        step = np.linalg.lstsq(second, reached - target, rcond=1e-9)[0]
-        steps.append(step)
-        before = reached
-        sums = table.agg(*(F.sum(mass * F.col("p")[i] * _rate(steps, least)) for i in k)).first()
-        reached = np.array([x or 0.0 for x in sums])
-        if np.abs(reached - before).max() <= 1e-9 * max(total, 1.0):  # a target that no document can serve
+    if total is not None:
+        return _steps(table, second, now, share * total, tolerance, least)
+    total = max((x / w for x, w in zip(now, share) if w > 0), default=0.0) * max(1.0, least)
+    if not least or not total:
+        return _steps(table, second, now, share * total, tolerance, least)
+    # Rates of total * (p . pull) meet the targets, if they can be met at all.
+    pull = np.linalg.lstsq(second, share, rcond=1e-9)[0]
+    if not np.allclose(second @ pull, share, atol=tolerance):
+        return _steps(table, second, now, share * total, tolerance, least)
+    lowest = table.agg(F.min(sum((p[i] * float(x) for i, x in enumerate(pull)), F.lit(0.0)))).first()[0]
+    if lowest > 0:
+        return _steps(table, second, now, share * max(total, least / lowest), tolerance, least)
+    for growth in GROWTHS:
+        steps, met = _steps(table, second, now, share * total * growth, tolerance, least)
+        if met:
             break
-    return steps
+    return steps, met
 
 
 def rated(
@@ -153,7 +170,7 @@ def rated(
     seed: int = 11,
     least: float = 0.0,
 ) -> DataFrame:
-    """One row per distinct document: _id, _none, _h, rows, tokens, p, rate, copies.
+    """One row per distinct document: _id, _none, _h, rows, tokens, p, rate, copies, met.
 
     No rate is below `least`; with 1 every document is kept, also one that gains nothing from the targets.
     `copies` rounds the rate up or down by a hash of id, text and seed, so that its expectation is the rate.
@@ -161,13 +178,17 @@ def rated(
     domains = sorted(targets)
     model, prior, size = classifier(docs, labels, domains, domain)
     table = checkpointed(posteriors(docs, model, prior, size))
-    steps = fit_rates(table, [targets[d] for d in domains], total, tolerance, least)
+    steps, met = fit_rates(table, [targets[d] for d in domains], total, tolerance, least)
     chance = F.pmod(F.xxhash64("_id", "_none", "_h", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
-    return table.withColumn("rate", _rate(steps, least)).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
+    return table.withColumn("rate", _rate(steps, least)).withColumns(
+        {"copies": F.floor(F.col("rate") + chance).cast("long"), "met": F.lit(met)}
+    )
 
 
 def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], **options) -> DataFrame:
-    """One row per row of `docs`: doc_id, domain, tokens, rate, copies, and a posterior p_<domain> for each target.
+    """One row per row of `docs`: doc_id, domain, tokens, rate, copies, met, and a posterior p_<domain> for each target.
+
+    `met` says whether the expected domain totals of all rates meet the targets; where no rates can, it is false.
 
     Tokens are words between ASCII white space. Null and empty texts have none and the prior as posteriors; they get
     a rate like others. Rows that repeat an id and its text get one decision. A document whose own `domain` column is
@@ -183,6 +204,7 @@ def rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float], **optio
         "tokens",
         "rate",
         "copies",
+        "met",
         *(F.col("p")[i].alias(f"p_{d}") for i, d in enumerate(domains)),
     )
 

@@ -134,3 +134,33 @@ def test_every_document_is_kept(spark, tmp_path):
     kept = corpus_pipeline.mixture(spark, docs, str(tmp_path))
     assert kept.count() == found["copies"].sum()
     assert kept.select("doc_id").distinct().count() == len(rows)
+
+
+@pytest.mark.parametrize("targets", [(0.58, 0.42), (0.54, 0.46), (0.3, 0.7), (0.61, 0.39)])
+def test_targets_near_the_edge_of_the_posteriors(spark, targets):
+    """Only documents with posteriors (0.6, 0.4) and (0.4, 0.6): the total grows as far as the targets ask."""
+    rows = [(1, False, 1, 1, 100, [0.6, 0.4]), (2, False, 2, 1, 100, [0.4, 0.6])]
+    table = spark.createDataFrame(rows, "_id long, _none boolean, _h long, rows long, tokens long, p array<double>")
+    steps, met = mixing.fit_rates(table, list(targets), None, 1e-4, 1.0)
+    rates = {r["_id"]: r["rate"] for r in table.withColumn("rate", mixing._rate(steps, 1.0)).collect()}
+    assert min(rates.values()) >= 1
+    share = (rates[1] * 0.6 + rates[2] * 0.4) / (rates[1] + rates[2])
+    possible = 0.4 <= targets[0] <= 0.6
+    assert met == possible
+    if possible:
+        assert abs(share - targets[0]) <= 2e-4
+        assert abs(min(rates.values()) - 1) < 1e-6  # and no further
+
+
+def test_a_document_that_would_need_less_is_flagged_or_met(spark, monkeypatch):
+    """A document whose linear rate would be below zero keeps the least one; `met` tells how it ended."""
+    monkeypatch.setattr(mixing, "STEPS", 4)
+    monkeypatch.setattr(mixing, "GROWTHS", (1,))
+    rows = [(1, False, 1, 1, 1000, [0.9, 0.05, 0.05]), (2, False, 2, 1, 100, [0.05, 0.9, 0.05]), (3, False, 3, 1, 100, [0.05, 0.05, 0.9])]
+    table = spark.createDataFrame(rows, "_id long, _none boolean, _h long, rows long, tokens long, p array<double>")
+    weights = np.array([0.04, 0.48, 0.48])
+    steps, met = mixing.fit_rates(table, list(weights), None, 1e-4, 1.0)
+    found = table.withColumn("rate", mixing._rate(steps, 1.0)).toPandas()
+    reached = (np.array(found["p"].tolist()) * found["tokens"].to_numpy()[:, None]).T @ found["rate"].to_numpy()
+    assert found["rate"].min() >= 1
+    assert not met and not np.allclose(reached / reached.sum(), weights, atol=1e-3)  # no document lacks the first domain
