@@ -103,12 +103,13 @@ def test_components(spark):
     assert components(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [2, exact_dedup.CROWD])
 @pytest.mark.parametrize("keep", ["largest", "smallest"])
-def test_exact(docs, rows, keep):
+def test_exact(docs, rows, keep, crowd):
     by = defaultdict(list)
     for doc, text, *_ in rows:
         by[text or ""].append(doc)
-    found = exact_dedup.decisions(docs, keep=keep).collect()
+    found = exact_dedup.decisions(docs, keep=keep, crowd=crowd).collect()
     assert len(found) == len(rows)
     stay = defaultdict(int)
     for r in found:
@@ -123,10 +124,36 @@ def test_exact(docs, rows, keep):
     assert all(r["doc_id"] == r["keep_id"] for r in found if r["kept"])
 
 
-def test_exact_rows(docs, rows):
-    kept = exact_dedup.deduplicated(docs, keep="largest")
+@pytest.mark.parametrize("crowd", [2, exact_dedup.CROWD])
+def test_exact_rows(docs, rows, crowd):
+    kept = exact_dedup.deduplicated(docs, keep="largest", crowd=crowd)
     assert kept.dtypes == docs.dtypes
-    assert kept.count() == len({r[1] or "" for r in rows})
+    best = {}
+    for doc, text, *_ in rows:
+        best[text or ""] = max(best.get(text or "", -1), -1 if doc is None else doc)
+    found = {(-1 if r["doc_id"] is None else r["doc_id"], r["text"] or "") for r in kept.collect()}
+    assert found == {(doc, text) for text, doc in best.items()} and kept.count() == len(best)
+
+
+def test_copies_meet_as_neighbours(spark):
+    """Texts that begin alike and have up to four copies each, and one with 300: only that one is dealt out."""
+    texts = [f"{'same beginning ' * 9}{i}" for i in range(200) for _ in range(1 + i % 4)] + ["crowd"] * 300
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    runs = exact_dedup._sorted_runs(docs, [], "none", "largest", exact_dedup.CROWD).filter("_place = 1").collect()
+    sizes = defaultdict(list)
+    for r in runs:
+        sizes[r["_text"]].append(r["_rows"])
+    dealt = sizes.pop("crowd")
+    assert len(dealt) > 30 and sum(dealt) == 300
+    assert {t: n for t, (n,) in sizes.items()} == {t: texts.count(t) for t in sizes} and len(sizes) == 200
+
+
+def test_few_texts_are_dealt_out(spark):
+    most = 4 * exact_dedup.partitions(spark)
+    docs = spark.createDataFrame([(i * 10 + j, f"t{i}") for i in range(most + 5) for j in range(1 + (i < most))], "doc_id long, text string")
+    runs = exact_dedup._sorted_runs(docs, [], "none", "smallest", 1)
+    assert runs.filter("_salt IS NOT NULL").select("_text").distinct().count() == most
+    assert exact_dedup.decisions(docs, crowd=0).filter("kept").count() == most + 5
 
 
 def test_normalised(spark):
