@@ -31,6 +31,39 @@ def test_suffix_order_against_brute_force():
         assert found[:-1].tolist() == longest_elsewhere(words)
 
 
+def test_byte_repeats_against_brute_force():
+    rng = random.Random(9)
+    for _ in range(60):
+        texts = ["".join(rng.choice("ab\x00é"[: rng.choice([1, 2, 4])]) for _ in range(rng.randrange(30))).encode() for _ in range(rng.randrange(1, 5))]
+        bounds = np.cumsum([0, *map(len, texts)])
+        numbers = quality_rules._byte_numbers(np.frombuffer(b"".join(texts), np.uint8), bounds)
+        found = quality_rules.repeats(numbers, quality_rules._WIDTH).tolist()
+        assert found == [x for t in texts for x in [*longest_elsewhere(t), 0]]
+
+
+def test_covered_bytes(docs, rows):
+    found = {(r["doc_id"], r["n_bytes"], r["n_words"]): r["n_covered_bytes"] for r in quality_rules.assess(docs).collect()}
+    for doc, text, *_ in rows:
+        raw = (text or "").encode()
+        n = 10
+        while len(raw) > 4096 * 2 ** ((n - 10) / 2):
+            n += 1
+        seen: dict[bytes, list[int]] = {}
+        for i in range(len(raw) - n + 1):
+            seen.setdefault(raw[i : i + n], []).append(i)
+        twice = {i + k for at in seen.values() if len(at) > 1 for i in at for k in range(n)}
+        assert found[doc, len(raw), len(raw.split())] == len(twice)
+
+
+def test_table_like_text_is_rejected(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7))
+    clean = " ".join(word() for _ in range(400))
+    table = " ".join(f"{word()} | total of | {word()}" for _ in range(100))
+    frame = spark.createDataFrame([(1, clean), (2, table)], "doc_id long, text string")
+    assert {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.assess(frame).collect()} == {1: (False, True), 2: (False, False)}
+
+
 def test_counts(docs, rows):
     found = {(r["doc_id"], r["n_words"], r["word_chars"]): r for r in quality_rules.assess(docs).collect()}
     assert quality_rules.assess(docs).count() == len(rows)
