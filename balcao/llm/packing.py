@@ -30,14 +30,15 @@ _LONG_WORD = re.compile(r"\S{2000}|\s{2000}")
 def encoder(path: str):
     """Function from a text to its ids, for a byte-level vocabulary file.
 
-    The vocabulary of the file is run by the faster of two libraries; a test holds both to the same ids.
+    The vocabulary of the file is run by the faster of two libraries; a test holds both to the same ids. The strings of
+    the file's special tokens have the ids of these tokens, as the plain call of the slower library gives them.
     """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True  # their strings are ordinary text
+    added = [token.content for token in slow.get_added_tokens_decoder().values()]
     # The files write bytes as characters: printable ones as themselves, the others in order from 256 on.
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - plain))}
@@ -51,7 +52,8 @@ def encoder(path: str):
             cut = _CUT.search(text, at + _PART) if len(text) - at > _PART else None
             part = text[at : cut.start()] if cut else text[at:]
             at += len(part)
-            ids += slow.encode(part, add_special_tokens=False).ids if _LONG_WORD.search(part) else fast.encode_ordinary(part)
+            other = _LONG_WORD.search(part) or any(token in part for token in added)
+            ids += slow.encode(part, add_special_tokens=False).ids if other else fast.encode_ordinary(part)
         return np.array(ids, dtype="<u4")
 
     return encode
@@ -120,7 +122,7 @@ def pack(
     one piece. A task packs the remainders of its own partition, `window` of them at a time, and what a window leaves
     goes on to the next, so nothing is shuffled and each partition ends with at most a few sequences that are not full.
 
-    Null and empty texts are documents of one id. Repeated rows are packed once each; a null id is handed on. Very
+    Null and empty texts are documents of one id. A special token's string in a text is that token. Repeated rows are packed once each; a null id is handed on. Very
     long texts are encoded in parts. Other columns are not read. An empty table gives no rows.
     """
     names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
