@@ -150,6 +150,61 @@ def test_held_out_labels_change_nothing(judged, spark):
     assert np.allclose(a.weights, b.weights)
 
 
+def plain_statistics(text):
+    """The statistics of one text, written out one by one."""
+    raw = text.encode()
+    own = raw.split()
+    n, size = max(len(own), 1), max(len(raw), 1)
+    lengths = [len(w) for w in own]
+    mean = sum(lengths) / n
+    pairs = list(zip(own, own[1:]))
+    lines = [x for x in raw.split(b"\n") if x.split()]
+    shares = [raw.count(bytes([b])) / size for b in set(raw)]
+    kinds = [
+        lambda b: 65 <= b <= 90, lambda b: 48 <= b <= 57, lambda b: b > 127, lambda b: b in b".,;:", lambda b: b in b"!?",
+        lambda b: b == 124, lambda b: b in b"#*$%&<>@_=+~^\\/{}[]`", lambda b: b in b"\"'()-", lambda b: b in b" \t\n\v\f\r", lambda b: b == 10,
+    ]
+    return [
+        np.log(1 + len(own)), mean, max(sum(x * x for x in lengths) / n - mean * mean, 0) ** 0.5, sum(x > 20 for x in lengths) / n,
+        len(set(own)) / n, sum(a == b for a, b in pairs) / n, len(set(pairs)) / max(len(pairs), 1), len(lines) / n,
+        1 - len(set(lines)) / max(len(lines), 1), -sum(p * np.log(p) for p in shares), *(sum(map(k, raw)) / size for k in kinds),
+    ]
+
+
+def test_fit_and_scores_against_plain_numpy(judged):
+    """Every row: statistics, Fourier features, ridge solution, pooled calibration and scores, without Spark."""
+    docs, marks, labels = judged
+    texts = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    x = np.array([plain_statistics(t) for _, t in texts])
+    fold = np.array([0 if i is None else crc32(str(i).encode()) % 5 for i, _ in texts])
+    y = np.array([labels.get(i, np.nan) for i, _ in texts], dtype=float)
+    learnt = (fold != 0) & ~np.isnan(y)
+    centre, scale = x[learnt].mean(axis=0), np.maximum(x[learnt].std(axis=0), 1e-6)
+    rng = np.random.default_rng(7)
+    waves = rng.normal(size=(x.shape[1], quality_classifier.FEATURES)) / np.sqrt(x.shape[1])
+    shift = rng.uniform(0, 2 * np.pi, quality_classifier.FEATURES)
+    z = np.sqrt(2 / len(shift)) * np.cos(np.clip((x - centre) / scale, -5, 5) @ waves + shift)
+    z = np.column_stack([z, np.ones(len(z))])
+    fitting, held = learnt & (fold != 1), learnt & (fold == 1)
+    # Ridge as least squares on stacked rows, a different way to the same weights.
+    n = fitting.sum()
+    stacked = np.vstack([z[fitting], np.sqrt(1e-3 * n) * np.eye(z.shape[1])])
+    weights = np.linalg.lstsq(stacked, np.append(y[fitting], np.zeros(z.shape[1])), rcond=None)[0]
+    model = quality_classifier.fit(docs, marks)
+    assert np.allclose(model.centre, centre) and np.allclose(model.scale, scale) and np.allclose(model.weights, weights, atol=1e-6)
+    raw = z @ weights
+    order = np.argsort(raw[held])
+    s, t = raw[held][order], y[held][order]
+    # Non-decreasing least squares by its min-max formula.
+    level = np.array([max(min(t[a : b + 1].mean() for b in range(i, len(t))) for a in range(i + 1)) for i in range(len(t))])
+    at = [s[np.isclose(level, v)].mean() for v in np.unique(level.round(9))]
+    expected = 0.99 * np.interp(raw, at, np.unique(level.round(9))) + 0.01 * np.clip(raw, 0, 1)
+    rows = quality_classifier.scores(docs, model).collect()
+    found = sorted((str(r["doc_id"]), round(r["score"], 4)) for r in rows)
+    for (a, p), (b, q) in zip(found, sorted((str(i), e) for (i, _), e in zip(texts, expected))):
+        assert a == b and abs(p - q) < 1e-3
+
+
 def test_without_labels(docs, empty, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality_classifier.fit(docs, none)
