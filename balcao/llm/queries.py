@@ -195,6 +195,23 @@ ORACLES = {
                     ELSE 'allow' END AS verdict
         FROM judged
     """,
+    "op4_substring_dedup": r"""
+        WITH texts AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), windows AS (
+            SELECT r, head, md5(array_to_string(words[head:head + 34], ' ')) AS sequence
+            FROM (SELECT r, words, unnest(generate_series(1, len(words) - 34)) AS head FROM texts)
+        ), gone AS (
+            SELECT DISTINCT r, unnest(generate_series(head, head + 34)) AS place
+            FROM (SELECT r, head FROM windows QUALIFY count(*) OVER (PARTITION BY sequence) > 1)
+        ), stay AS (
+            SELECT r, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n
+            FROM (SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts) ANTI JOIN gone USING (r, place)
+            GROUP BY r
+        )
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM texts LEFT JOIN stay USING (r)
+    """,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER t AS keep_id, count(*) OVER t AS group_size,
                doc_id = max(doc_id) OVER t AS kept, sha256(coalesce(text, '')) AS text_sha256
