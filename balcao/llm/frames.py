@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from balcao.session import ensure_checkpoint_dir
 
@@ -28,12 +27,6 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """Id, whole text (null: empty) and text hash. Id and hash together name a text; any other column is left out."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), text.alias("text"))
-
-
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column without nulls and the bounds of its values, without a copy."""
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
