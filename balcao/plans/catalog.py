@@ -185,6 +185,9 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     # stored tables, written and read again
     "metricas_avanco": stored.advanced_snapshots,
     "assoc_stats_mensal": stored.merged_pairs,
+    "regras_mensais": stored.rules_by_month,
+    "cobertura_rodapes": stored.coverage_from_footers,
+    "meses_oferta_gravados": stored.offer_months_from_commits,
     "ctl_na_gravacao": stored.figures_of_write,
     "troca_atomica": stored.replaced_volume,
     "volume_meses_escolhidos": stored.volume_of_chosen_months,

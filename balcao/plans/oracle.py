@@ -759,6 +759,11 @@ QUERIES = {
         GROUP BY motivo""",
 }
 
+# The same results from stored tables.
+QUERIES["regras_mensais"] = " UNION ALL ".join(f"SELECT '{name[3:]}' AS tabela, * FROM ({text})" for name, text in DQ.items())
+QUERIES["cobertura_rodapes"] = QUERIES["cobertura"]
+QUERIES["meses_oferta_gravados"] = QUERIES["meses_oferta"]
+
 
 def sql(name: str) -> str:
     """The query with the subqueries it uses, in definition order."""

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from balcao.functions import months as M
-from balcao.operators import baskets, monthly, search, snapshots
+from balcao.operators import baskets, gold, monthly, quality as Q, rule_counts, search, snapshots
 from balcao.plans import stored
 from balcao.plans.model import Model
 from balcao.sources import readers
@@ -155,6 +155,101 @@ def test_merged_pair_counts_equal_a_full_run(spark, sales, tmp_path):
     assert _read(pairs.stats(products, ["1997-12"]).select(*full.columns)) == _read(one)
 
 
+def _tables_with_faults(spark, sales):
+    """All tables of the rules over sales with faults of every kind, and the reports over the whole of them."""
+    orders, details, customers, products = sales
+    # An order found in two months, one without a number, one without a day; items without an order, repeated, out of range.
+    orders = orders.unionByName(
+        spark.sql("""SELECT * FROM VALUES (2L, 'C1', DATE'1996-11-02', -1.0BD), (NULL, 'C1', DATE'1996-05-05', 1.0BD), (950L, 'C2', NULL, NULL)
+                     AS t(order_id, customer_id, order_date, freight)"""),
+        allowMissingColumns=True,
+    )
+    faulty = spark.sql("""SELECT * FROM VALUES (7777L, 99L, 1.0BD, 0, 2.0BD, 1.0BD), (NULL, NULL, -1.0BD, 1, 0.0BD, 1.0BD),
+                          (2L, 50L, 1.0BD, 1, 0.0BD, 1.0BD), (2L, 50L, 1.0BD, 1, 0.0BD, 1.0BD), (950L, 3L, 1.0BD, 1, 0.5BD, 0.5BD)
+                          AS t(order_id, product_id, unit_price, quantity, discount, receita_item)""")
+    details = details.unionByName(faulty)
+    span = snapshots.full_range(orders)
+    base = snapshots.base_orders(orders, span).select(M.month_key(F.col("order_date")).alias("ano_mes"))
+    months = snapshots.snapshot_months(orders).select("ano_mes")
+    stray = F.when(F.col("cliente_id") == "C4", F.lit("1996-02")).otherwise(F.col("ano_mes"))
+    tables = {
+        "customers": customers.union(customers.limit(2)),
+        "clientes": gold.clientes(customers),
+        "orders": orders,
+        "order_details": details,
+        "descontos": gold.descontos(orders, details, products).withColumn("produto_nome", F.nullif("produto_nome", F.lit("produto 3"))),
+        "historico_produtos": gold.historico_cliente_produtos(orders, details, customers, products),
+        "historico_volume": gold.historico_cliente_volume(orders, details, customers).filter("cliente_id != 'C3'"),
+        "historico_metricas": snapshots.historico_cliente_metricas(orders, details, customers).withColumn("ano_mes", stray).filter("cliente_id != 'C5'"),
+        "produtos_associados": baskets.produtos_associados(orders, details, products).filter("id_compra != 11"),
+        "ticket_medio": gold.ticket_medio(orders, details).withColumn("ticket_medio", -F.col("ticket_medio")),
+        "base": base,
+        "elegiveis": rule_counts.eligible_by_month(orders, customers, span),
+    }
+    t = tables
+    reports = {
+        "customers": Q.customers(t["customers"]),
+        "clientes": Q.clientes(t["clientes"], t["customers"]),
+        "orders": Q.orders(orders),
+        "order_details": Q.order_details(details, orders),
+        "descontos": Q.descontos(t["descontos"], details),
+        "historico_produtos": Q.historico_cliente_produtos(t["historico_produtos"], details),
+        "historico_volume": Q.historico_cliente_volume(t["historico_volume"], orders, details),
+        "historico_metricas": Q.historico_cliente_metricas(
+            t["historico_metricas"], months, M.key_of_index(span.last), snapshots.eligible_rows(orders, customers, span), base
+        ),
+        "produtos_associados": Q.produtos_associados(t["produtos_associados"], orders),
+        "ticket_medio": Q.ticket_medio(t["ticket_medio"], orders),
+    }
+    return tables, reports, span
+
+
+def test_rules_counted_by_month_equal_a_full_run(spark, sales, tmp_path):
+    tables, reports, span = _tables_with_faults(spark, sales)
+    month = "1997-03"
+    inside = F.coalesce(M.month_key(F.col("order_date")) == month, F.lit(False))
+    its_orders = tables["orders"].filter(inside).select("order_id")
+
+    def part(name, of_month):
+        rows = tables[name]
+        if name == "orders":
+            return rows.filter(inside if of_month else ~inside)
+        if name == "order_details":
+            return rows.join(its_orders, "order_id", "left_semi" if of_month else "left_anti")
+        same = F.coalesce(F.col("ano_mes") == month, F.lit(False))
+        return rows.filter(same if of_month else ~same)
+
+    monthly_ones = [n for n in tables if not rule_counts.SPECS[n].register]
+    counts = rule_counts.RuleCounts(spark, str(tmp_path))
+    registers = {n: t for n, t in tables.items() if rule_counts.SPECS[n].register}
+    # At first the month holds rows that will be gone.
+    counts.count({"orders": tables["orders"].filter(inside).limit(1).withColumn("order_id", F.lit(5000).cast("bigint"))}, [month])
+    counts.count(registers | {n: part(n, False) for n in monthly_ones})
+    counts.count({n: part(n, True) for n in monthly_ones}, [month])
+    found = {}
+    for r in counts.report(span).collect():
+        found.setdefault(r["tabela"], {})[r["regra"]] = r["violacoes"]
+    for name, report in reports.items():
+        expected = {r["regra"]: r["violacoes"] for r in report.collect()}
+        assert found[name] == expected, name
+        assert any(expected.values()) or name in ("historico_produtos",), name
+    assert sum(len(rules) for rules in found.values()) == 124
+
+
+def test_bounds_come_from_the_footers(spark, tmp_path):
+    table = MonthlyTable(spark, str(tmp_path / "t"), "n bigint, dia date, ano_mes string")
+    assert table.bounds("dia").collect() == []
+    rows = spark.sql("""SELECT * FROM VALUES (5L, DATE'1997-04-02', '1997-04'), (9L, NULL, '1997-04'), (-1L, DATE'1997-05-30', '1997-05')
+                        AS t(n, dia, ano_mes)""")
+    table.replace(rows)
+    plan = table._bounds("dia")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(dia), MAX(dia)]" in plan
+    assert [str(r[0]) for r in table.bounds("dia").collect()] == ["1997-04-02", "1997-05-30"]
+    assert [r[0] for r in table.bounds("n").collect()] == [-1, 9]
+    table.replace(rows.filter("n = -1").withColumn("dia", F.lit("1997-05-07").cast("date")))
+    assert [str(r[0]) for r in table.bounds("dia").collect()] == ["1997-04-02", "1997-05-07"]
+
+
 def test_bucketed_sales_meet_without_a_shuffle(spark):
     orders, details = stored.bucketed_sales(Model(spark, "/root/testdata/sf0.001"), 4)
     joined = details.hint("merge").join(orders, "order_id").groupBy("order_id").agg(F.sum("receita_item"))
