@@ -6,7 +6,7 @@ import re
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Combining marks dropped from decomposed text.
 MARKS = "[\u0300-\u036f]"
@@ -57,3 +57,12 @@ def blank_to_null(text: Column) -> Column:
 def locale_order(name: Column) -> Column:
     """Sort key in Portuguese alphabetical order."""
     return F.collate(name, "pt")
+
+
+def with_place(names: DataFrame, name: str, ident: str, place: str) -> DataFrame:
+    """Adds `place`, a number that grows with the Portuguese order of `name` and then `ident`; it has gaps.
+
+    Names are compared letter by letter here, once; rows that carry the place are then sorted by a number.
+    """
+    ordered = names.orderBy(locale_order(F.col(name)), ident)
+    return ordered.withColumn(place, F.monotonically_increasing_id())

@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from balcao.functions.months import month_key
 from balcao.functions.numbers import ratio
-from balcao.functions.text import locale_order
+from balcao.functions.text import locale_order, with_place
 
 BLOCK = 256
+# Place of a companion's name in Portuguese order, beside the statistics where they are ranked.
+PLACE = "lugar_y"
 
 
 def basket_items(details: DataFrame, products: DataFrame) -> DataFrame:
@@ -148,18 +150,19 @@ def produtos_associados(
 
 
 def association_stats(
-    orders: DataFrame, details: DataFrame, products: DataFrame, block: int = BLOCK
+    orders: DataFrame, details: DataFrame, products: DataFrame, block: int = BLOCK, placed: bool = False
 ) -> DataFrame:
     """For every X -> Y: orders with X, with both, with both and others, and the two shares.
 
     Pairs are counted once per couple with a map-side combine and mirrored afterwards.
     The join on X comes last: the ranking per X then finds its rows in place.
+    `placed` adds `PLACE`, by which a ranking need not compare names.
     """
     items, header = basket_items(details, products), orders.select("order_id")
-    return shares(couple_counts(items, header, block), orders_per_product(items, header, block), products)
+    return shares(couple_counts(items, header, block), orders_per_product(items, header, block), products, placed)
 
 
-def shares(couples: DataFrame, orders_with: DataFrame, products: DataFrame) -> DataFrame:
+def shares(couples: DataFrame, orders_with: DataFrame, products: DataFrame, placed: bool = False) -> DataFrame:
     """The statistics of each X -> Y from the counts of couples and products."""
     both_ways = F.array(
         F.struct(F.col("x").alias("produto_x"), F.col("y").alias("produto_y")),
@@ -169,6 +172,8 @@ def shares(couples: DataFrame, orders_with: DataFrame, products: DataFrame) -> D
     names = products.select(
         F.col("product_id").alias("produto_y"), F.col("product_name").alias("nome_y")
     )
+    if placed:
+        names = with_place(names, "nome_y", "produto_y", PLACE)
     together, n = F.col("pedidos_com_x_e_y"), F.col("pedidos_com_x")
     return (
         mirrored.join(names, "produto_y")
@@ -178,20 +183,21 @@ def shares(couples: DataFrame, orders_with: DataFrame, products: DataFrame) -> D
             "pedidos_com_outros",
             (ratio(together, n) * 100).alias("pct_associacao"),
             (ratio(F.col("pedidos_com_outros"), together) * 100).alias("pct_outros"),
+            *([PLACE] if placed else []),
         )
     )
 
 
-def _partner_order() -> list[Column]:
-    return [
-        F.desc("pct_associacao"), F.asc("pct_outros"), F.desc("pedidos_com_x_e_y"),
-        locale_order(F.col("nome_y")), F.asc("produto_y"),
-    ]
+def name_order(rows: DataFrame) -> list[Column]:
+    """Companions by name, and by number where names are equal."""
+    return [F.asc(PLACE)] if PLACE in rows.columns else [locale_order(F.col("nome_y")), F.asc("produto_y")]
 
 
 def ranked_partners(stats: DataFrame) -> DataFrame:
     """Position of every partner of a product; it does not depend on any cart."""
-    order = Window.partitionBy("produto_x").orderBy(*_partner_order())
+    order = Window.partitionBy("produto_x").orderBy(
+        F.desc("pct_associacao"), F.asc("pct_outros"), F.desc("pedidos_com_x_e_y"), *name_order(stats)
+    )
     return stats.withColumn("posicao", F.row_number().over(order))
 
 

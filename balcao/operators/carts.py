@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from balcao.functions.numbers import ratio, rounded
 from balcao.functions.text import locale_order
-from balcao.operators.baskets import best_partners, ranked_partners
+from balcao.operators.baskets import PLACE, best_partners, name_order, ranked_partners
 from balcao.session import ensure_checkpoint_dir
 
 TOP = 5
 # A cart of c products hides at most c - 1 partners of one of them, so the first
 # TOP + c - 1 partners are enough: PREFIX of them serve carts of PREFIX - TOP + 1.
 PREFIX = 32
+# Carts up to this size travel as an array beside each of their products.
+LISTED = 1024
 # Catalogue products of a gap that are held as one list.
 GAP = 4096
 # Float noise of a product over the origins must not decide an order.
@@ -25,7 +27,10 @@ PARTNER = [
     "posicao", "produto_y", "nome_y", "pedidos_com_x", "pedidos_com_x_e_y", "pedidos_com_outros",
     "pct_associacao", "pct_outros",
 ]
-OUTPUT = ["cart_id", "produto_x", *PARTNER[1:]]
+
+
+def _partner(stats: DataFrame) -> list[str]:
+    return PARTNER + [c for c in [PLACE] if c in stats.columns]
 
 
 def _oversized(carts: DataFrame, limit: int) -> DataFrame:
@@ -34,30 +39,32 @@ def _oversized(carts: DataFrame, limit: int) -> DataFrame:
     return sizes.filter(F.col("tamanho") > limit).hint("rebalance")
 
 
-def _small_carts(carts: DataFrame, oversized: DataFrame, stats: DataFrame, prefix: int) -> DataFrame:
+def _listed_carts(folded: DataFrame, partners: DataFrame) -> DataFrame:
     """The cart travels as an array: exclusion and cut happen inside the row."""
-    folded = (
-        carts.join(oversized, "cart_id", "left_anti")
-        .groupBy("cart_id")
-        .agg(F.collect_list("product_id").alias("itens"))
-        .select("cart_id", "itens", F.explode("itens").alias("produto_x"))
-    )
-    best = (
-        best_partners(stats, prefix)
-        .groupBy("produto_x")
-        .agg(F.sort_array(F.collect_list(F.struct(*PARTNER))).alias("parceiros"))
-    )
+    columns = _partner(partners)
+    best = partners.groupBy("produto_x").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("parceiros"))
     enough = F.slice("parceiros", F.lit(1), F.size("itens") + TOP - 1)
     allowed = F.filter(enough, lambda p: ~F.array_contains("itens", p["produto_y"]))
     return (
-        folded.join(best, "produto_x")
+        folded.select("cart_id", "itens", F.explode("itens").alias("produto_x"))
+        .join(best, "produto_x")
         .select("cart_id", "produto_x", F.posexplode(F.slice(allowed, 1, TOP)).alias("i", "p"))
         .select("cart_id", "produto_x", "p.*", (F.col("i") + 1).alias("ordem"))
-        .select(*OUTPUT, "ordem")
+        .select("cart_id", "produto_x", *columns[1:], "ordem")
     )
 
 
-def _large_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame) -> DataFrame:
+def _folded(carts: DataFrame) -> DataFrame:
+    return carts.groupBy("cart_id").agg(F.collect_list("product_id").alias("itens"))
+
+
+def _asked(partners: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The partners that some cart reads: a product's largest cart tells how many. `sizes` has produto_x and tamanho."""
+    reach = sizes.groupBy("produto_x").agg((F.max("tamanho") + TOP - 1).alias("ate"))
+    return partners.join(reach, "produto_x").filter(F.col("posicao") <= F.col("ate")).drop("ate")
+
+
+def _huge_carts(carts: DataFrame, huge: DataFrame, partners: DataFrame) -> DataFrame:
     """Partners are fetched by position, so a popular product brings only those it needs.
 
     A cart asks for no position its product does not have: whatever its size, it
@@ -65,7 +72,7 @@ def _large_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame) ->
     """
     available = partners.groupBy("produto_x").agg(F.max("posicao").alias("parceiros"))
     asked = (
-        carts.join(oversized, "cart_id")
+        carts.join(huge, "cart_id")
         .withColumnRenamed("product_id", "produto_x")
         .join(available, "produto_x")
         .withColumn("ate", F.least(F.col("tamanho") + TOP - 1, F.col("parceiros")).cast("int"))
@@ -78,19 +85,24 @@ def _large_carts(carts: DataFrame, oversized: DataFrame, partners: DataFrame) ->
         .join(inside, ["cart_id", "produto_y"], "left_anti")
         .withColumn("ordem", F.row_number().over(order))
         .filter(F.col("ordem") <= TOP)
-        .select(*OUTPUT, "ordem")
+        .select("cart_id", "produto_x", *_partner(partners)[1:], "ordem")
     )
 
 
-def top_partners(carts: DataFrame, stats: DataFrame, prefix: int = PREFIX) -> DataFrame:
+def top_partners(carts: DataFrame, stats: DataFrame, prefix: int = PREFIX, listed: int = LISTED) -> DataFrame:
     """The five best partners of each product of each cart, none of them in the cart.
 
-    Only carts too large for a prefix ask for every position; without them no product is ranked as a whole.
+    Only carts too large for a prefix need products ranked as a whole, and of these only the partners they can read
+    travel. Up to `listed` products a cart still is one row; larger ones ask for single positions.
     """
     carts = carts.select("cart_id", "product_id").distinct()
     oversized = _oversized(carts, prefix - TOP + 1)
-    small = _small_carts(carts, oversized, stats, prefix)
-    return small.unionByName(_large_carts(carts, oversized, ranked_partners(stats)))
+    small = _listed_carts(_folded(carts.join(oversized, "cart_id", "left_anti")), best_partners(stats, prefix))
+    ranked = ranked_partners(stats)
+    large = carts.join(oversized.filter(F.col("tamanho") <= listed), "cart_id")
+    asked = _asked(ranked, large.withColumnRenamed("product_id", "produto_x"))
+    huge = _oversized(carts, max(listed, prefix - TOP + 1))
+    return small.unionByName(_listed_carts(_folded(large), asked)).unionByName(_huge_carts(carts, huge, ranked))
 
 
 def combined_suggestions(top: DataFrame) -> DataFrame:
@@ -105,6 +117,7 @@ def combined_suggestions(top: DataFrame) -> DataFrame:
         others.alias("media_outros_produtos"),
         weight.alias("total_pedidos_conjuntos"),
         F.count(F.lit(1)).alias("origens"),
+        *[F.min(c).alias(c) for c in [PLACE] if c in top.columns],
     )
     index = F.col("associacao_combinada") * (1 - 0.25 * (F.col("media_outros_produtos") / 100))
     return merged.withColumn("indice_oportunidade", index)
@@ -115,10 +128,9 @@ def ranked_suggestions(suggestions: DataFrame) -> DataFrame:
     order = Window.partitionBy("cart_id").orderBy(
         rounded(F.col("indice_oportunidade"), SCORE_DIGITS).desc(),
         F.desc("total_pedidos_conjuntos"),
-        locale_order(F.col("nome_y")),
-        "produto_y",
+        *name_order(suggestions),
     )
-    return suggestions.withColumn("posicao", F.row_number().over(order))
+    return suggestions.withColumn("posicao", F.row_number().over(order)).drop(PLACE)
 
 
 def suggestion_origins(top: DataFrame, products: DataFrame) -> DataFrame:
@@ -154,11 +166,12 @@ def _numbered(catalogue: DataFrame) -> DataFrame:
         .withColumn("_parte", F.shiftright("_n", 33))
         .checkpoint(eager=True)
     )
+
     before = Window.orderBy("_parte").rowsBetween(Window.unboundedPreceding, -1)
     sizes = ordered.groupBy("_parte").agg(F.count(F.lit(1)).alias("_linhas"))
     starts = sizes.select("_parte", F.coalesce(F.sum("_linhas").over(before), F.lit(0)).alias("_inicio"))
     place = F.col("_inicio") + F.col("_n") - F.shiftleft("_parte", 33)
-    return ordered.join(starts, "_parte").select("produto_id", "produto_nome", place.alias("lugar"))
+    return ordered.join(F.broadcast(starts), "_parte").select("produto_id", "produto_nome", place.alias("lugar"))
 
 
 def ranked_catalogue(catalogue: DataFrame, consumption: DataFrame, clients: DataFrame) -> DataFrame:
@@ -168,7 +181,8 @@ def ranked_catalogue(catalogue: DataFrame, consumption: DataFrame, clients: Data
     row per customer and product. Only products with units are numbered by customer; the others lie in the gaps between
     those in the one order of the catalogue, and a gap's places follow from its ends.
     """
-    shelf = _numbered(catalogue)
+    # Its files are small for what they hold; as a broadcast the catalogue would pass through the driver.
+    shelf = _numbered(catalogue).hint("merge")
     wanted = clients.select("cliente_id").filter("cliente_id IS NOT NULL").distinct()
     units = consumption.withColumn("quantidade_total", F.coalesce("quantidade_total", F.lit(0)))
     bought = (

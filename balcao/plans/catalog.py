@@ -18,7 +18,7 @@ from balcao.operators import (
 )
 from balcao.plans import stored
 from balcao.plans.model import Model
-from balcao.session import tune
+from balcao.session import small_tasks, tune
 from balcao.sources.readers import query
 
 SCORE_COLUMNS = ["associacao_combinada", "media_outros_produtos", "indice_oportunidade"]
@@ -142,7 +142,9 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     "assoc_top5": lambda m: m.melhores,
     # The paths of large orders and carts, which the test data would not take by itself.
     "assoc_stats_tiles": lambda m: baskets.association_stats(m.orders, m.details, m.products, block=3),
-    "assoc_top5_large_carts": lambda m: carts.top_partners(m.carrinhos, m.associacoes, prefix=6),
+    "assoc_top5_large_carts": lambda m: carts.top_partners(m.carrinhos, m.associacoes_em_ordem, prefix=6).drop(
+        baskets.PLACE
+    ),
     "cart_suggestions": lambda m: _scores(carts.combined_suggestions(m.melhores)),
     "cart_suggestions_ranked": lambda m: _scores(m.sugestoes),
     "cart_suggestion_origins": lambda m: carts.suggestion_origins(m.melhores, m.products),
@@ -181,7 +183,7 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     # actions
     "acoes_base": lambda m: m.acoes,
     "acoes_score": lambda m: m.acoes_pontuadas,
-    "acoes_ranked": lambda m: actions.ranked(m.acoes_pontuadas),
+    "acoes_ranked": lambda m: m.acoes_em_ordem,
     # stored tables, written and read again
     "metricas_avanco": stored.advanced_snapshots,
     "assoc_stats_mensal": stored.merged_pairs,
@@ -199,4 +201,4 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return portable(BUILDERS[name](Model(tune(spark), folder)))
+    return portable(BUILDERS[name](Model(small_tasks(tune(spark)), folder)))

@@ -124,11 +124,20 @@ class Model:
 
     @cached_property
     def melhores(self) -> DataFrame:
-        return carts.top_partners(self.carrinhos, self.associacoes)
+        return self.melhores_em_ordem.drop(baskets.PLACE)
+
+    @cached_property
+    def associacoes_em_ordem(self) -> DataFrame:
+        """With the place of the companion's name, by which partners and suggestions are ranked."""
+        return baskets.association_stats(self.orders, self.details, self.products, placed=True)
+
+    @cached_property
+    def melhores_em_ordem(self) -> DataFrame:
+        return carts.top_partners(self.carrinhos, self.associacoes_em_ordem)
 
     @cached_property
     def sugestoes(self) -> DataFrame:
-        return carts.ranked_suggestions(carts.combined_suggestions(self.melhores))
+        return carts.ranked_suggestions(carts.combined_suggestions(self.melhores_em_ordem))
 
     @cached_property
     def contexto(self) -> DataFrame:
@@ -158,14 +167,22 @@ class Model:
 
     # actions
 
-    @cached_property
-    def acoes(self) -> DataFrame:
+    def _acoes(self, placed: bool) -> DataFrame:
         purchases = gold.dated_items(self.orders, self.details).select(
             F.col("customer_id").alias("cliente_id"), F.col("product_id").alias("produto_id"), "ano_mes"
         )
-        monthly = self.registered(purchases.distinct())
-        return actions.recurrence(monthly, actions.product_calendar(self.products, self.descontos), self.span)
+        calendar = actions.product_calendar(self.products, self.descontos, placed)
+        return actions.recurrence(purchases, calendar, self.span, gold.company_names(self.named_customers))
+
+    @cached_property
+    def acoes(self) -> DataFrame:
+        return self._acoes(placed=False)
 
     @cached_property
     def acoes_pontuadas(self) -> DataFrame:
         return actions.with_score(self.acoes)
+
+    @cached_property
+    def acoes_em_ordem(self) -> DataFrame:
+        """Ranked by the place of the product's name."""
+        return actions.ranked(actions.with_score(self._acoes(placed=True)))

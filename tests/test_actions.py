@@ -81,3 +81,17 @@ def test_client_search(spark):
     assert [r.nome_empresa for r in out] == [f"Empresa {i:02d}" for i in range(20)]
     assert out[0].meta == "Mossoró" and out[1].meta == "Zé · Mossoró"
     assert search.search_clients(df, "  ").count() == 0 and search.search_clients(df, "ze").count() == 15
+
+
+def test_rows_meet_their_customer_folded(spark):
+    """Customers are shuffled before their months are unfolded, and both rankings find them in place."""
+    purchases = spark.createDataFrame([("A", 1, "1998-01"), ("B", 2, "1998-01")], "cliente_id string, produto_id long, ano_mes string")
+    products = spark.createDataFrame([(1, "á"), (2, "b")], "product_id long, product_name string")
+    discounts = spark.createDataFrame([("1998-02", 1, 4, Decimal("0.05"))], "ano_mes string, produto_id long, categoria_id int, maior_desconto decimal(4,2)")
+    clients = spark.createDataFrame([("A",)], "cliente_id string")
+    span = Range(F.lit(SELECTED), F.lit(SELECTED))
+    rows = actions.recurrence(purchases, actions.product_calendar(products, discounts, placed=True), span, clients)
+    ranked = actions.ranked(actions.with_score(rows))
+    plan = ranked._jdf.queryExecution().executedPlan().toString().split("Generate")[0]
+    assert "Window" in plan and "Exchange" not in plan
+    assert [(r.cliente_id, r.produto_id, r.oferta) for r in ranked.collect()] == [("A", 1, Decimal("0.05"))]

@@ -7,6 +7,8 @@ from collections import Counter, defaultdict
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from balcao.operators import baskets, carts
 
 
@@ -168,3 +170,19 @@ def test_catalogue_of_many_clients(spark, monkeypatch):
         expected |= {(c, p, names[p], units.get((c, p), 0), i + 1) for i, p in enumerate(order)}
     rows = [tuple(r) for r in out.collect()]
     assert len(rows) == 1200 and set(rows) == expected
+
+
+def test_carts_of_any_size_agree(spark, make_sales):
+    """As one row or position by position, and ranked by names or by their places."""
+    sales = {i: ("A", "1997-01-05") for i in range(12)}
+    items = [(i, p, 5, 1, 0) for i in range(12) for p in range(1, 3 + i % 7)]
+    orders, details, _, products = make_sales(sales, items)
+    rows = details.select(F.col("order_id").alias("cart_id"), "product_id")
+    plain = baskets.association_stats(orders, details, products)
+    placed = baskets.association_stats(orders, details, products, placed=True)
+    columns = ["cart_id", "produto_x", "produto_y", "ordem"]
+    results = [
+        sorted(carts.top_partners(rows, stats, prefix, listed).select(columns).collect())
+        for stats, prefix, listed in ((plain, 32, 1024), (placed, 6, 1024), (placed, 6, 4))
+    ]
+    assert results[0] and results[0] == results[1] == results[2]

@@ -127,3 +127,49 @@ def test_a_report_computes_its_table_once(spark, name, scans):
 
     plan = catalog.run(name, spark, FOLDER)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("l_extendedprice") and sum("lineitem.parquet" in line for line in plan.split("\n") if "FileScan" in line) <= scans
+
+
+@given
+@pytest.mark.parametrize("name", ["gold_historico_cliente_metricas", "dq_historico_metricas"])
+def test_snapshots_are_not_grouped_one_by_one(spark, name):
+    from balcao.plans import catalog
+
+    plan = catalog.run(name, spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.split("\n") if "Aggregate [" in line]
+    assert grouped and not any("mes_idx" in line.split("]")[0] for line in grouped)
+    # The report folds a customer's years; its months are bits.
+    assert name != "dq_historico_metricas" or "bit_or" in plan
+
+
+@given
+def test_months_of_a_customer_meet_the_register_unsorted(spark):
+    from balcao.operators import status
+
+    model = Model(spark, FOLDER)
+    plan = status.clients_of_month(model.metricas, gold.clientes(model.named_customers))._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=shuffle_hash" in plan
+
+
+def test_a_month_of_the_key_may_be_any_text(spark):
+    from balcao.operators import quality
+
+    months = ["1997-04", "1997-04", "1997-05", "2002-04", None, None, "x", "x", "1997-4"]
+    rows = spark.createDataFrame([(m, "A") for m in months] + [("1997-04", "B"), ("1997-04", None)], "ano_mes string, cliente_id string")
+    found = [quality.one_pass(rows, ["ano_mes", "cliente_id"], {}, {}, month=m).first() for m in (None, "ano_mes")]
+    assert found[0] == found[1] and (found[0]["rows"], found[0]["extra"]) == (11, 3)
+
+
+def test_tasks_stay_small_unless_the_cluster_says_otherwise(spark):
+    from balcao.session import ADVISORY, INITIAL, small_tasks
+
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "10")
+    small_tasks(session)
+    assert (session.conf.get(ADVISORY), session.conf.get(INITIAL)) == ("16m", "40")
+    session.conf.set("spark.sql.shuffle.partitions", "100")
+    small_tasks(session)
+    assert session.conf.get(INITIAL) == "400"
+    session.conf.set(INITIAL, "7")
+    session.conf.set(ADVISORY, "32m")
+    small_tasks(session)
+    assert (session.conf.get(ADVISORY), session.conf.get(INITIAL)) == ("32m", "7")
