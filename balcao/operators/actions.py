@@ -23,7 +23,7 @@ def product_calendar(products: DataFrame, discounts: DataFrame, placed: bool = F
     """One row per product: name, category and the offer of each month; `placed` adds `PLACE`."""
     calendar = discounts.groupBy("produto_id").agg(
         F.max("categoria_id").alias("categoria_id"),
-        F.map_from_entries(F.collect_list(F.struct("ano_mes", "maior_desconto"))).alias("ofertas"),
+        F.map_from_entries(F.collect_list(F.struct(M.index_of_key(F.col("ano_mes")), "maior_desconto"))).alias("ofertas"),
     )
     names = products.select(F.col("product_id").alias("produto_id"), F.col("product_name").alias("produto_nome"))
     if placed:
@@ -51,8 +51,7 @@ def recurrence(
         bought.join(calendar, "produto_id")
         .withColumns({"_de": span.first, "_ate": span.last})
         .withColumn("selecoes", F.filter(reach, lambda i: i.between(F.col("_de"), F.col("_ate"))))
-        .filter(F.size("selecoes") > 0)
-        .withColumn("ofertas", F.transform("selecoes", lambda i: F.try_element_at("ofertas", M.key_of_index(i))))
+        .withColumn("ofertas", F.transform("selecoes", lambda i: F.try_element_at("ofertas", i)))
         .drop("_de", "_ate")
         .repartition("cliente_id")
     )
