@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import RDD, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +17,8 @@ from balcao.llm.frames import checkpointed, partitions, stored
 CHUNK = 2048
 #: Columns of a shard.
 BLOCK = 32
+#: Chunks of a task at least, where there are more tasks than cores.
+DEALT = 16
 #: Integer components below this size keep squared distances of up to 64 of them within 64 bits.
 LARGEST = 1 << 27
 
@@ -88,6 +90,31 @@ def _sums(values: np.ndarray, cluster: np.ndarray, k: int) -> np.ndarray:
     return out.astype(object)
 
 
+def _gathered(pairs: RDD, tasks: int) -> RDD:
+    """The pairs dealt by key and read by `tasks` tasks, also where the shuffle has more partitions than that."""
+    return pairs.partitionBy(tasks, hash).coalesce(tasks)
+
+
+def _folded(pairs: Iterator[tuple], add: Callable) -> Iterator[tuple]:
+    """The values of each key added up; a task holds one value for each of its keys."""
+    out: dict = {}
+    for key, value in pairs:
+        out[key] = add(out[key], value) if key in out else value
+    return iter(out.items())
+
+
+def _moves(pairs: Iterator[tuple], k: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(block, sums): the columns of a chunk, an array of rows, meet the choice of its vectors, one number each."""
+    waiting: dict = {}
+    for key, value in pairs:
+        if key not in waiting:
+            waiting[key] = value
+            continue
+        other = waiting.pop(key)
+        values, cluster = (value, other) if value.ndim == 2 else (other, value)
+        yield key[1], _sums(values, cluster, k)
+
+
 @dataclass(frozen=True)
 class Clusters:
     """`rows` has vec_id, cluster, distance; `centroids` the final components; `inertia` the sum of distances by cluster."""
@@ -102,11 +129,12 @@ def lloyd(vectors: DataFrame, seeds: list[list[int]], rounds: int, block: int =
 
     The vectors are cut into shards of `block` columns, written once to the shared folder, and dealt once by chunk and
     shard. In a round a task of a shard takes exact partial distances of its columns to its slice of the centroids;
-    `reduceByKey` adds the partial distances of a chunk and the nearest centroid is taken, the smaller number where
-    two are as near; the choice goes back to the shards, one small number a vector, where it meets the columns
-    without moving them; and the sums of each cluster, folded in every task first, move that shard's slice. A centroid
-    is the floor of the mean of its vectors; without vectors it stays. After the last round vectors are assigned once
-    more.
+    the partial distances of a chunk are added by key and the nearest centroid is taken, the smaller number where
+    two are as near; the choice goes back to the shards, one small number a vector, where it meets the columns in a
+    shuffle by chunk and shard; and the sums of each cluster, folded in every task first, move that shard's slice. A
+    centroid is the floor of the mean of its vectors; without vectors it stays. After the last round vectors are
+    assigned once more. There are as many tasks as the vectors call for, at least one a core and at most one for each
+    partition of the cluster's shuffles: a round has five stages, and small tasks would take longer to start than to run.
 
     The driver holds the centroids and, once a round, the sums of each shard: both are as many numbers as centroids times
     columns. A round reads nothing of the one before but the centroids, so lost executors cost their own tasks.
@@ -122,26 +150,29 @@ def lloyd(vectors: DataFrame, seeds: list[list[int]], rounds: int, block: int =
     shards = -(-dims // block)
     cut = stored(_blocks(vectors, dims, block))
     kinds = {w: np.dtype(f"i{w}") for w in (2, 4, 8)}
-    dealt = (
-        cut.filter("block >= 0")
-        .select("chunk", "block", "n", "width", "data")
-        .rdd.map(lambda r: ((r[0], r[1]), np.frombuffer(r[4], kinds[r[3]]).reshape(r[2], -1)))
-        .partitionBy(max(1, partitions(spark)), hash)
+    blocks = cut.filter("block >= 0")
+    cells = blocks.agg(F.sum("n")).first()[0] or 0
+    tasks = max(1, min(partitions(spark), max(spark.sparkContext.defaultParallelism, cells // (DEALT * CHUNK))))
+    dealt = _gathered(
+        blocks.select("chunk", "block", "n", "width", "data").rdd.map(
+            lambda r: ((r[0], r[1]), np.frombuffer(r[4], kinds[r[3]]).reshape(r[2], -1))
+        ),
+        tasks,
     )
-    tasks = dealt.getNumPartitions()
 
-    def distances(centroids: np.ndarray):
+    def distances(centroids: np.ndarray) -> RDD:
         slices = [centroids[:, b * block : (b + 1) * block] for b in range(shards)]
-        return dealt.map(lambda x: (x[0][0], _partial(x[1], slices[x[0][1]]))).reduceByKey(_added, tasks, hash)
+        partial = dealt.map(lambda x: (x[0][0], _partial(x[1], slices[x[0][1]])))
+        return _gathered(partial, tasks).mapPartitions(lambda pairs: _folded(pairs, _added))
 
     label = np.uint8 if k <= 256 else np.uint32
     centroids = np.array(seeds, dtype=np.int64)
     for _ in range(rounds):
         nearest = distances(centroids).mapValues(lambda d: d.argmin(axis=1).astype(label))
-        back = nearest.flatMap(lambda x: [((x[0], b), x[1]) for b in range(shards)]).partitionBy(tasks, hash)
-        met = dealt.join(back, tasks).map(lambda x: (x[0][1], _sums(x[1][0], x[1][1], k)))
+        back = nearest.flatMap(lambda x: [((x[0], b), x[1]) for b in range(shards)])
+        met = _gathered(dealt.union(back), tasks).mapPartitions(lambda pairs: _folded(_moves(pairs, k), np.add))
         moved = centroids.copy()
-        for b, sums in met.reduceByKey(lambda x, y: x + y, shards, hash).collect():
+        for b, sums in _gathered(met, shards).mapPartitions(lambda pairs: _folded(pairs, np.add)).collect():
             for c in range(k):
                 if sums[c, -1]:
                     moved[c, b * block : (b + 1) * block] = sums[c, :-1] // sums[c, -1]

@@ -90,3 +90,23 @@ def test_query_equals_sql(spark):
     folder = "/root/testdata/sf0.001"
     name = "op13_centroid_clustering"
     assert compare.differences(queries.QUERIES[name](spark, folder), compare.connect(folder), queries.ORACLES[name]) == []
+
+
+def test_a_round_on_few_vectors_runs_few_tasks(spark):
+    rng = random.Random(5)
+    frame = spark.createDataFrame([(i, [rng.randrange(-64, 64) / 8 for _ in range(6)], 1) for i in range(400)], SCHEMA)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    context, ran = spark.sparkContext, []
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "90")
+        for rounds in (1, 3):
+            context.setJobGroup(f"lloyd-{rounds}", "")
+            lloyd.lloyd(lloyd.whole_vectors(frame, 6, 8), [[0] * 6, [9] * 6, [-9] * 6], rounds, block=2)
+            tracker = context.statusTracker()
+            stages = {s for j in tracker.getJobIdsForGroup(f"lloyd-{rounds}") for s in tracker.getJobInfo(j).stageIds}
+            ran.append(sum(i.numTasks for s in stages if (i := tracker.getStageInfo(s)) and i.numCompletedTasks))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # Two more rounds of five stages, each with a task a core; over all 90 partitions they were more than 400 a round.
+    assert 0 < ran[1] - ran[0] <= 2 * (5 * context.defaultParallelism + 6)
