@@ -44,16 +44,35 @@ def in_context(
     """Adds category, price, the customer's consumption and the month's offer.
 
     `rows` has cart_id and produto_id, `context` the customer and month of each
-    cart. Nothing here changes a score or an order.
+    cart. Nothing here changes a score or an order. Rows go by customer and product once and by product once: the
+    product's offers are one row with a list by month, and the result lies by product.
     """
     products = catalogue.select("produto_id", "categoria_nome", "preco_unitario")
-    offers = discounts.select("ano_mes", "produto_id", F.col("maior_desconto").alias("oferta"))
-    return (
+    added = ["categoria_nome", "preco_unitario", "oferta", "consumo_cliente", "oferta_texto"]
+    carried = [c for c in rows.columns if c not in ("cart_id", "produto_id")]
+    own = [c for c in context.columns if c not in ("ano_mes", "cliente_id", "cart_id")]
+    named = (
         rows.join(context, "cart_id")
-        .join(products, "produto_id", "left")
         .join(consumption, ["cliente_id", "produto_id"], "left")
-        .join(offers, ["ano_mes", "produto_id"], "left")
         .withColumn("consumo_cliente", F.coalesce("quantidade_total", F.lit(0)))
+        .join(products, "produto_id", "left")
+        .join(offers_of_products(discounts), "produto_id", "left")
+    )
+    of_month = F.try_element_at("ofertas", F.col("ano_mes"))
+    return (
+        named.select("*", F.inline_outer(of_month))
         .withColumn("oferta_texto", offer_text(F.col("oferta")))
-        .drop("quantidade_total")
+        .select("ano_mes", "produto_id", "cliente_id", "cart_id", *carried, *own, *added)
+    )
+
+
+def offers_of_products(discounts: DataFrame) -> DataFrame:
+    """(produto_id, ofertas): the offers of each month a product was sold in, as many entries as rows of that month.
+
+    A product has at most a list per month of the calendar.
+    """
+    listed = F.collect_list(F.struct(F.col("maior_desconto").alias("oferta")))
+    by_month = discounts.filter(F.col("ano_mes").isNotNull()).groupBy("produto_id", "ano_mes").agg(listed.alias("do_mes"))
+    return by_month.groupBy("produto_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("ano_mes", "do_mes"))).alias("ofertas")
     )

@@ -80,9 +80,12 @@ def _month_names(m: Model) -> DataFrame:
 
 
 def _cart_lines(m: Model) -> DataFrame:
+    """The context meets the lines where they lie by order; the names come last, where the lines lie by product."""
     names = gold.product_names(m.products).select("produto_id", "produto_nome")
-    lines = m.carrinhos.withColumnRenamed("product_id", "produto_id").join(names, "produto_id")
-    return m.in_context(lines)
+    lines = m.in_context(m.carrinhos.withColumnRenamed("product_id", "produto_id"))
+    shown = list(lines.columns)
+    shown.insert(shown.index("cart_id") + 1, "produto_nome")
+    return lines.join(names, "produto_id").select(shown)
 
 
 def _suggestions_in_context(m: Model) -> DataFrame:
