@@ -236,6 +236,38 @@ def test_rules_counted_by_month_equal_a_full_run(spark, sales, tmp_path):
     assert sum(len(rules) for rules in found.values()) == 124
 
 
+def _figures_of(rows):
+    return {(r["ano_mes"], r["figura"]): int(r["valor"]) for r in rows.collect()}
+
+
+def test_rows_of_a_key_are_not_sorted_to_count_their_rules(spark):
+    columns = "cliente_id, nome_empresa, receita_sem_desconto, receita_total, desconto_medio, quantidade_pedidos, quantidade_produtos_distintos, quantidade_itens"
+    rows = spark.sql(f"""SELECT * FROM VALUES
+        ('1997-04', 'A', 'a', 5.0, 4.0, 0.2D, 1L, 1L, 3L), ('1997-04', 'A', NULL, 5.0, 4.0, 2D, 1L, 1L, 3L), ('1997-04', NULL, 'x', 3.0, 4.0, 2D, 0L, 1L, NULL),
+        ('1997-05', 'A', 'a', 5.0, 4.0, 0.2D, 1L, 1L, 3L) AS t(ano_mes, {columns})""")
+    counted = rule_counts._counted("historico_volume", rule_counts._dated("historico_volume", {"historico_volume": rows}))
+    assert "SortAggregate" not in counted._jdf.queryExecution().executedPlan().toString()
+    month = {n: v for (m, n), v in _figures_of(counted).items() if m == "1997-04"}
+    assert month == {
+        "#linhas": 3, "#repetidas": 1, "nome_empresa nulo": 1, "cliente_id nulo": 1, "desconto_medio fora de [0, 1]": 2,
+        "quantidade_pedidos nao positiva": 1, "bruto menor que liquido": 1, "#units": 6, "#gross": 13, "#net": 12, "#orders": 2,
+    }
+    many = rule_counts._by_marks(
+        spark.range(5).selectExpr("id", "'m' AS mes", "0L AS balde"), ("id",), [F.col("id") >= i % 5 for i in range(130)], [], []
+    ).first()
+    assert [many[f"c{i + 1}"] for i in range(130)] == [5 - i % 5 for i in range(130)]
+
+
+def test_an_order_counts_in_its_first_month_whatever_the_text(spark):
+    months = {1: ["1997-05", "1997-04", "sem-mes"], 2: ["sem-mes"], 3: ["+10000-01"], 4: ["0999-12", "1000-01"], 5: ["1997-5", "x\n"]}
+    rows = spark.createDataFrame([(k, m) for k, ms in months.items() for m in ms], "id long, mes string")
+    folded = rule_counts._of_first_month(rows, ("id",), [F.count(F.lit(1)).alias("n")])
+    assert sorted((r["id"], r["mes"], r["n"]) for r in folded.collect()) == [
+        (1, "1997-04", 3), (2, "sem-mes", 1), (3, "+10000-01", 1), (4, "0999-12", 2), (5, "1997-5", 1), (5, "x\n", 1)
+    ]
+    assert "SortAggregate" not in folded._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bounds_come_from_the_footers(spark, tmp_path):
     table = MonthlyTable(spark, str(tmp_path / "t"), "n bigint, dia date, ano_mes string")
     assert table.bounds("dia").collect() == []
