@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import random
+import time
 from pathlib import Path
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from balcao import session
 from balcao.functions import months as M
 from balcao.operators import baskets, gold, monthly, quality as Q, rule_counts, search, snapshots
 from balcao.plans import stored
@@ -318,3 +321,44 @@ def test_broken_lines_go_to_quarantine(spark, tmp_path):
     assert dict(good.dtypes) == {"order_id": "bigint", "product_id": "bigint", "unit_price": "decimal(10,2)", "quantity": "int", "discount": "decimal(4,2)"}
     assert [(r[0], r[1], r[3]) for r in sorted(good.collect(), key=lambda r: (r[0], r[1]))] == [(1, 2, 4), (1, 3, 5), (6, 7, 1)]
     assert _read(bad) == [("campos", "3;4;1.00"), ("campos", "4;5;1.00;2;0;9"), ("product_id", "2;x;1.00;1;0"), ("unit_price,quantity", "5;6;abc;1.5;0")]
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def _gone(spark, before, seconds=20):
+    """Files are removed behind the write's back."""
+    until = time.time() + seconds
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    return not left
+
+
+def test_writes_leave_no_shuffle_files(spark, tmp_path):
+    table = MonthlyTable(spark, str(tmp_path / "t"), "k bigint, n bigint, ano_mes string")
+    rows = spark.range(2000).select((F.col("id") % 50).alias("k"), F.lit("1997-01").alias("ano_mes")).groupBy("k", "ano_mes").agg(F.count("*").alias("n"))
+    before = _shuffle_files(spark)
+    table.replace(rows)
+    assert _gone(spark, before)
+    # A write that fails midway leaves none either.
+    with pytest.raises(PySparkException):
+        table.replace(rows.withColumn("n", F.when(F.col("k") == 7, F.raise_error(F.lit("x")).cast("bigint")).otherwise(F.col("n"))))
+    assert _gone(spark, before) and {r.n for r in table.read().collect()} == {40}
+
+
+def test_other_queries_keep_their_shuffle_files(spark):
+    assert spark.conf.get(session.CLEANUP, None) is None
+    with session.shuffles_dropped(spark):
+        with session.shuffles_dropped(spark):
+            assert spark.conf.get(session.CLEANUP) == "true"
+        assert spark.conf.get(session.CLEANUP) == "true"
+    assert spark.conf.get(session.CLEANUP, None) is None
+    spark.conf.set(session.CLEANUP, "false")  # what the cluster says stays
+    try:
+        with session.shuffles_dropped(spark):
+            assert spark.conf.get(session.CLEANUP) == "false"
+        assert spark.conf.get(session.CLEANUP) == "false"
+    finally:
+        spark.conf.unset(session.CLEANUP)
