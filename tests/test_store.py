@@ -362,3 +362,21 @@ def test_other_queries_keep_their_shuffle_files(spark):
         assert spark.conf.get(session.CLEANUP) == "false"
     finally:
         spark.conf.unset(session.CLEANUP)
+
+
+def test_two_tables_are_counted_at_a_time(spark, tmp_path, monkeypatch):
+    """Each holds its shuffle files until it is written."""
+    running, most = [], []
+
+    def replace(self, *args):
+        running.append(self.path)
+        time.sleep(0.3)
+        most.append(len(running))
+        running.remove(self.path)
+
+    monkeypatch.setattr(MonthlyTable, "replace", replace)
+    rows = spark.createDataFrame([("A", "x")], "customer_id string, company_name string")
+    registers = {name: rows for name in ("customers", "products", "clientes", "produtos")}
+    monkeypatch.setattr(rule_counts, "_counted", lambda name, rows: rows)
+    rule_counts.RuleCounts(spark, str(tmp_path)).count(registers)
+    assert len(most) == 4 and max(most) <= 2
