@@ -201,14 +201,6 @@ def ranked_partners(stats: DataFrame) -> DataFrame:
     return stats.withColumn("posicao", F.row_number().over(order))
 
 
-def best_partners(stats: DataFrame, limit: int) -> DataFrame:
-    """The first `limit` partners of each product.
-
-    The limit on the position lets Spark drop the others in each partition before it shuffles and ranks what is left.
-    """
-    return ranked_partners(stats).filter(F.col("posicao") <= limit)
-
-
 # What the share of orders with only the two products tells.
 NEVER_ALONE = "nunca_sozinhos"
 STRONG = "forte"

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from balcao.functions.numbers import ratio, rounded
 from balcao.functions.text import locale_order
-from balcao.operators.baskets import PLACE, best_partners, name_order, ranked_partners
-from balcao.session import ensure_checkpoint_dir
+from balcao.operators.baskets import PLACE, name_order, ranked_partners
+from balcao.session import ensure_checkpoint_dir, stored
 
 TOP = 5
 # A cart of c products hides at most c - 1 partners of one of them, so the first
@@ -33,76 +33,96 @@ def _partner(stats: DataFrame) -> list[str]:
     return PARTNER + [c for c in [PLACE] if c in stats.columns]
 
 
-def _oversized(carts: DataFrame, limit: int) -> DataFrame:
-    """Carts with more than `limit` products; a stage of its own, so AQE can see it empty."""
-    sizes = carts.groupBy("cart_id").agg(F.count(F.lit(1)).alias("tamanho"))
-    return sizes.filter(F.col("tamanho") > limit).hint("rebalance")
+def _sized(carts: DataFrame, small: int) -> DataFrame:
+    """The products of each cart, once, with the cart's size. Lines without a cart are one cart, never taken for a large one."""
+    size = F.count(F.lit(1)).over(Window.partitionBy("cart_id"))
+    own = F.when(F.col("cart_id").isNull(), F.least(size, F.lit(small))).otherwise(size)
+    return carts.select("cart_id", "product_id").distinct().withColumn("tamanho", own)
 
 
-def _listed_carts(folded: DataFrame, partners: DataFrame) -> DataFrame:
-    """The cart travels as an array: exclusion and cut happen inside the row."""
+def _listed_carts(carts: DataFrame, partners: DataFrame) -> DataFrame:
+    """The cart travels as an array: exclusion and cut happen inside the row, which holds a list for each column."""
     columns = _partner(partners)
+    folded = carts.groupBy("cart_id").agg(F.collect_list("product_id").alias("itens"))
     best = partners.groupBy("produto_x").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("parceiros"))
     enough = F.slice("parceiros", F.lit(1), F.size("itens") + TOP - 1)
     allowed = F.filter(enough, lambda p: ~F.array_contains("itens", p["produto_y"]))
     return (
         folded.select("cart_id", "itens", F.explode("itens").alias("produto_x"))
         .join(best, "produto_x")
-        .select("cart_id", "produto_x", F.posexplode(F.slice(allowed, 1, TOP)).alias("i", "p"))
-        .select("cart_id", "produto_x", "p.*", (F.col("i") + 1).alias("ordem"))
-        .select("cart_id", "produto_x", *columns[1:], "ordem")
+        .select("cart_id", "produto_x", F.slice(allowed, 1, TOP).alias("p"))
+        .select("cart_id", "produto_x", *[F.col("p")[c].alias(c) for c in columns[1:]])
     )
 
 
-def _folded(carts: DataFrame) -> DataFrame:
-    return carts.groupBy("cart_id").agg(F.collect_list("product_id").alias("itens"))
+def _asked(partners: DataFrame, carts: DataFrame) -> DataFrame:
+    """The partners that some cart reads, and `ate`, how many of its product that is: its largest cart tells."""
+    reach = carts.groupBy(F.col("product_id").alias("produto_x")).agg((F.max("tamanho") + TOP - 1).alias("ate"))
+    return partners.drop("ate").join(reach, "produto_x").filter(F.col("posicao") <= F.col("ate"))
 
 
-def _asked(partners: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The partners that some cart reads: a product's largest cart tells how many. `sizes` has produto_x and tamanho."""
-    reach = sizes.groupBy("produto_x").agg((F.max("tamanho") + TOP - 1).alias("ate"))
-    return partners.join(reach, "produto_x").filter(F.col("posicao") <= F.col("ate")).drop("ate")
-
-
-def _huge_carts(carts: DataFrame, huge: DataFrame, partners: DataFrame) -> DataFrame:
+def _huge_carts(carts: DataFrame, partners: DataFrame) -> DataFrame:
     """Partners are fetched by position, so a popular product brings only those it needs.
 
     A cart asks for no position its product does not have: whatever its size, it
-    reads the statistics table at most once.
+    reads the partners at most once.
     """
+    columns = _partner(partners)
     available = partners.groupBy("produto_x").agg(F.max("posicao").alias("parceiros"))
     asked = (
-        carts.join(huge, "cart_id")
-        .withColumnRenamed("product_id", "produto_x")
+        carts.withColumnRenamed("product_id", "produto_x")
         .join(available, "produto_x")
         .withColumn("ate", F.least(F.col("tamanho") + TOP - 1, F.col("parceiros")).cast("int"))
         .select("cart_id", "produto_x", F.explode(F.sequence(F.lit(1), F.col("ate"))).alias("posicao"))
     )
-    inside = carts.withColumnRenamed("product_id", "produto_y")
+    inside = carts.select("cart_id", F.col("product_id").alias("produto_y"))
     order = Window.partitionBy("cart_id", "produto_x").orderBy("posicao")
     return (
         asked.join(partners, ["produto_x", "posicao"])
         .join(inside, ["cart_id", "produto_y"], "left_anti")
         .withColumn("ordem", F.row_number().over(order))
         .filter(F.col("ordem") <= TOP)
-        .select("cart_id", "produto_x", *_partner(partners)[1:], "ordem")
+        .groupBy("cart_id", "produto_x")
+        .agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("p"))
+        .select("cart_id", "produto_x", *[F.col("p")[c].alias(c) for c in columns[1:]])
     )
 
 
-def top_partners(carts: DataFrame, stats: DataFrame, prefix: int = PREFIX, listed: int = LISTED) -> DataFrame:
-    """The five best partners of each product of each cart, none of them in the cart.
+def chosen_partners(carts: DataFrame, stats: DataFrame, prefix: int = PREFIX, listed: int = LISTED) -> DataFrame:
+    """The five best partners of each product of each cart, none of them in the cart: a row per product, a list per column.
 
-    Only carts too large for a prefix need products ranked as a whole, and of these only the partners they can read
-    travel. Up to `listed` products a cart still is one row; larger ones ask for single positions.
+    The partners that some cart can read are few beside the statistics. They are stored, and what counted and ranked the
+    pairs leaves the disks before the carts meet them. Up to `listed` products a cart is one row, and those too large for
+    a prefix read lists of their own; larger ones ask for single positions.
     """
-    carts = carts.select("cart_id", "product_id").distinct()
-    oversized = _oversized(carts, prefix - TOP + 1)
-    small = _listed_carts(_folded(carts.join(oversized, "cart_id", "left_anti")), best_partners(stats, prefix))
-    ranked = ranked_partners(stats)
-    large = carts.join(oversized.filter(F.col("tamanho") <= listed), "cart_id")
-    asked = _asked(ranked, large.withColumnRenamed("product_id", "produto_x"))
-    huge = _oversized(carts, max(listed, prefix - TOP + 1))
-    return small.unionByName(_listed_carts(_folded(large), asked)).unionByName(_huge_carts(carts, huge, ranked))
+    small = prefix - TOP + 1
+    huge = max(listed, small)
+    carts = _sized(carts, small)
+    partners = stored(_asked(ranked_partners(stats), carts))
+    size, short = F.col("tamanho"), F.col("posicao") <= prefix
+    chosen = _listed_carts(carts.filter(size <= small), partners.filter(short))
+    # Larger carts with partners show in how far some cart reads.
+    furthest = partners.agg(F.max("ate")).first()[0] or 0
+    if furthest >= small + TOP:
+        large = carts.filter((size > small) & (size <= huge))
+        chosen = chosen.unionByName(_listed_carts(large, _asked(partners, large)))
+    if furthest >= huge + TOP:
+        chosen = chosen.unionByName(_huge_carts(carts.filter(size > huge), partners))
+    return chosen
+
+
+def _unfolded(chosen: DataFrame) -> DataFrame:
+    """One row per partner. The lists travel to their cart before that, and what follows finds a cart's rows in place."""
+    by_cart = chosen.repartition("cart_id").select("*", F.posexplode("produto_y").alias("_i", "_y"))
+    lists = [c for c in PARTNER[1:] + [PLACE] if c in chosen.columns]
+    cells = {c: F.col("_y") if c == "produto_y" else F.get(F.col(c), F.col("_i")) for c in lists}
+    others = [c for c in chosen.columns if c not in cells]
+    return by_cart.select(*others, *[cell.alias(c) for c, cell in cells.items()], (F.col("_i") + 1).alias("ordem"))
+
+
+def top_partners(carts: DataFrame, stats: DataFrame, prefix: int = PREFIX, listed: int = LISTED) -> DataFrame:
+    """The five best partners of each product of each cart, none of them in the cart, one row each, which lie by cart."""
+    return _unfolded(chosen_partners(carts, stats, prefix, listed))
 
 
 def combined_suggestions(top: DataFrame) -> DataFrame:
@@ -133,13 +153,17 @@ def ranked_suggestions(suggestions: DataFrame) -> DataFrame:
     return suggestions.withColumn("posicao", F.row_number().over(order)).drop(PLACE)
 
 
-def suggestion_origins(top: DataFrame, products: DataFrame) -> DataFrame:
-    """The products behind a suggestion, one row each, best association first."""
+def suggestion_origins(top: DataFrame, products: DataFrame, folded: bool = False) -> DataFrame:
+    """The products behind a suggestion, one row each, best association first.
+
+    `top` has a row per partner, or is `folded` as `chosen_partners` gives it; names then join a row per product.
+    """
     names = products.select(
         F.col("product_id").alias("produto_x"), F.col("product_name").alias("nome_x")
     )
+    named = top.join(names, "produto_x")
     best_first = Window.partitionBy("cart_id", "produto_y").orderBy(F.desc("pct_associacao"), "produto_x")
-    return top.join(names, "produto_x").select(
+    return (_unfolded(named) if folded else named).select(
         "cart_id", "produto_y", F.row_number().over(best_first).alias("ordem_origem"), "produto_x", "nome_x",
         "pedidos_com_x", "pedidos_com_x_e_y", "pct_associacao", "pedidos_com_outros", "pct_outros",
     )

@@ -150,7 +150,7 @@ BUILDERS: dict[str, Callable[[Model], DataFrame]] = {
     ),
     "cart_suggestions": lambda m: _scores(carts.combined_suggestions(m.melhores)),
     "cart_suggestions_ranked": lambda m: _scores(m.sugestoes),
-    "cart_suggestion_origins": lambda m: carts.suggestion_origins(m.melhores, m.products),
+    "cart_suggestion_origins": lambda m: carts.suggestion_origins(m.escolhidos, m.products, folded=True),
     "sql_parametrizado": _parameter_sql,
     # consumption and offers
     "consumo_cliente": lambda m: m.consumo,

@@ -135,6 +135,11 @@ class Model:
     def melhores_em_ordem(self) -> DataFrame:
         return carts.top_partners(self.carrinhos, self.associacoes_em_ordem)
 
+    @cached_property
+    def escolhidos(self) -> DataFrame:
+        """The best partners as lists, a row per product of a cart."""
+        return carts.chosen_partners(self.carrinhos, self.associacoes_em_ordem).drop(baskets.PLACE)
+
     @cached_property
     def sugestoes(self) -> DataFrame:
         return carts.ranked_suggestions(carts.combined_suggestions(self.melhores_em_ordem))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -186,3 +187,52 @@ def test_carts_of_any_size_agree(spark, make_sales):
         for stats, prefix, listed in ((plain, 32, 1024), (placed, 6, 1024), (placed, 6, 4))
     ]
     assert results[0] and results[0] == results[1] == results[2]
+
+
+def _dealt(spark, make) -> list[str]:
+    """The keys by which the rows of a result are dealt, nothing being broadcast."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = make()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    return [re.sub(r"#\w+", "", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+
+
+def test_suggestions_go_to_their_cart_once_and_as_lists(spark, make_sales):
+    """The statistics are stored by then; scores, ranks and origins find the rows of a cart in place."""
+    _, _, (orders, details, _, products) = _random_sales(make_sales, hot=20)
+    rows = details.select(F.col("order_id").alias("cart_id"), "product_id")
+    stats = baskets.association_stats(orders, details, products, placed=True)
+    ranked = _dealt(spark, lambda: carts.ranked_suggestions(carts.combined_suggestions(carts.top_partners(rows, stats))))
+    origins = _dealt(spark, lambda: carts.suggestion_origins(carts.chosen_partners(rows, stats), products, folded=True))
+    for dealt in (ranked, origins):
+        assert not any("produto_y" in keys or keys in ("x, y", "y, x") for keys in dealt)
+        assert dealt.count("cart_id") == 2  # the lines, to be one row, and the lists
+
+
+def test_origins_of_lists_are_those_of_rows(spark, make_sales):
+    _, _, (orders, details, _, products) = _random_sales(make_sales, hot=40)
+    rows = details.select(F.col("order_id").alias("cart_id"), "product_id")
+    stats = baskets.association_stats(orders, details, products)
+    # A product with two names stands there twice.
+    named = products.unionByName(products.filter("product_id = 3").withColumn("product_name", F.lit("outro")))
+    lists = carts.suggestion_origins(carts.chosen_partners(rows, stats), named, folded=True)
+    single = carts.suggestion_origins(carts.top_partners(rows, stats), named)
+    columns = [c for c in single.columns if c != "nome_x"]  # the order of equal origins is open
+    assert lists.columns == single.columns and lists.filter("nome_x = 'outro'").count() > 0
+    assert sorted(map(tuple, lists.select(columns).collect())) == sorted(map(tuple, single.select(columns).collect()))
+
+
+def test_lines_without_cart_or_product(spark, make_sales):
+    """Lines without a cart are one cart, whatever its size; lines without a product suggest nothing."""
+    _, _, (orders, details, _, products) = _random_sales(make_sales, hot=60)
+    stats = baskets.association_stats(orders, details, products)
+    lines = [(None, p) for p in (1, 2, 2, None)] + [(5, 1), (5, None), (6, None)] + [(7, p) for p in range(1, 31)]
+    rows = spark.createDataFrame(lines, "cart_id long, product_id long")
+    found = defaultdict(dict)
+    for r in carts.top_partners(rows, stats).collect():
+        found[r.cart_id][r.produto_x, r.produto_y] = r.ordem
+    facts = stats.collect()
+    assert dict(found) == {None: _best(facts, {1, 2}), 5: _best(facts, {1}), 7: _best(facts, set(range(1, 31)))}
