@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from balcao.functions.months import month_label
 from balcao.functions.numbers import ptbr_percent
@@ -44,16 +44,15 @@ def in_context(
     """Adds category, price, the customer's consumption and the month's offer.
 
     `rows` has cart_id and produto_id, `context` the customer and month of each
-    cart. Nothing here changes a score or an order. Rows go by customer and product once and by product once: the
-    product's offers are one row with a list by month, and the result lies by product.
+    cart. Nothing here changes a score or an order. Rows go by product once: there they meet what their customers bought
+    of it, and the product's offers, which are one row with a list by month; the result lies by product.
     """
     products = catalogue.select("produto_id", "categoria_nome", "preco_unitario")
     added = ["categoria_nome", "preco_unitario", "oferta", "consumo_cliente", "oferta_texto"]
     carried = [c for c in rows.columns if c not in ("cart_id", "produto_id")]
     own = [c for c in context.columns if c not in ("ano_mes", "cliente_id", "cart_id")]
     named = (
-        rows.join(context, "cart_id")
-        .join(consumption, ["cliente_id", "produto_id"], "left")
+        _beside_units(rows.join(context, "cart_id"), consumption.join(context, "cliente_id", "left_semi"))
         .withColumn("consumo_cliente", F.coalesce("quantidade_total", F.lit(0)))
         .join(products, "produto_id", "left")
         .join(offers_of_products(discounts), "produto_id", "left")
@@ -66,6 +65,20 @@ def in_context(
     )
 
 
+def _beside_units(lines: DataFrame, units: DataFrame) -> DataFrame:
+    """Each line with `quantidade_total` of its customer and product, as often as there are rows of these, or NULL.
+
+    A join on both would deal the lines by both, and again by product for what follows. Dealt by product together with the
+    units, the rows of a customer are found by a sort in place.
+    """
+    bought = units.filter(F.col("cliente_id").isNotNull() & F.col("produto_id").isNotNull())
+    listed = bought.select("cliente_id", "produto_id", F.struct("quantidade_total").alias("_unidades"))
+    dealt = lines.unionByName(listed, allowMissingColumns=True).repartition("produto_id")
+    same = Window.partitionBy("produto_id", "cliente_id")
+    beside = dealt.withColumn("_compras", F.collect_list("_unidades").over(same)).filter(F.col("_unidades").isNull())
+    return beside.select(*lines.columns, F.inline_outer("_compras"))
+
+
 def offers_of_products(discounts: DataFrame) -> DataFrame:
     """(produto_id, ofertas): the offers of each month a product was sold in, as many entries as rows of that month.
 

@@ -51,3 +51,25 @@ def test_lines_are_not_shuffled_by_month_and_product(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     joins = re.findall(r"Join \[([^\]]*)\]", plan)
     assert len(joins) == 4 and not any("ano_mes" in j for j in joins)
+
+
+def test_lines_are_dealt_by_product_only(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _shown(spark)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    dealt = [re.sub(r"#\w+", "", keys) for keys in re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)]
+    assert not any("cliente_id" in keys and "produto_id" in keys for keys in dealt)
+
+
+def test_consumption_beside_lines(spark):
+    """As a join gives it: rows that occur twice, and nothing for lines without a customer or a product."""
+    lines = spark.createDataFrame([(1, 10, "A"), (2, 10, "A"), (3, 11, "A"), (4, None, "A"), (5, 10, None), (6, 12, "A")], "cart_id long, produto_id long, cliente_id string")
+    units = spark.createDataFrame(
+        [("A", 10, 7), ("A", 10, 8), ("A", None, 9), (None, 10, 9), ("A", 12, None), ("B", 11, 1)], "cliente_id string, produto_id long, quantidade_total long"
+    )
+    found = offers._beside_units(lines, units).select("cart_id", "produto_id", "cliente_id", "quantidade_total")
+    joined = lines.join(units, ["cliente_id", "produto_id"], "left").select(found.columns)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, joined.collect())) and found.count() == 8
